@@ -71,3 +71,21 @@ def running_min_from_end(df: DataFrame, keys: list[str], value: str, position: s
         .withColumn(name, F.least("_here", F.coalesce("_later", "_here")))
         .drop("_here", "_later")
     )
+
+
+def running_total(df: DataFrame, keys: list[str], value: str, position: str, name: str) -> DataFrame:
+    """Sum of ``value`` over all earlier positions of a ``numbered`` frame, 0 at the first."""
+    before = Window.unboundedPreceding, -1
+    rows = Window.partitionBy(*keys, "_part").orderBy(position).rowsBetween(*before)
+    earlier_parts = Window.partitionBy(*keys).orderBy("_part").rowsBetween(*before)
+    parts = (
+        df.groupBy(*keys, "_part")
+        .agg(F.sum(value).alias("_sum"))
+        .select(*keys, "_part", F.coalesce(F.sum("_sum").over(earlier_parts), F.lit(0)).alias("_base"))
+    )
+    return (
+        df.withColumn("_here", F.coalesce(F.sum(value).over(rows), F.lit(0)))
+        .join(parts, [*keys, "_part"])
+        .withColumn(name, F.col("_here") + F.col("_base"))
+        .drop("_here", "_base")
+    )

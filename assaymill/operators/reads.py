@@ -1,3 +1,235 @@
-"""Sequencing reads."""
-from pyspark.sql import DataFrame
-def part_numbers(df: DataFrame, max_bytes: int) -> DataFrame: ...
+"""Sequencing reads: layout, mates, trimming and size-bounded parts."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
+
+from assaymill.operators.ordering import numbered, running_total
+
+FIELDS = ["id", "seq", "plus", "qual"]
+
+# The adapter file of the trimming recipe.
+ADAPTERS = [
+    "AGATGTGTATAAGAGACAG",
+    "AGATGTGTATAAGAGACAG",
+    "TCGTCGGCAGCGTCAGATGTGTATAAGAGACAG",
+    "CTGTCTCTTATACACATCTGACGCTGCCGACGA",
+    "GTCTCGTGGGCTCGGAGATGTGTATAAGAGACAG",
+    "CTGTCTCTTATACACATCTCCGAGCCCACGAGAC",
+]
+
+
+def read_layout(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) of one-line reads (file, line_no, fields).
+
+    The first line of a file decides: 8 fields are paired, 4 single. Lines of another
+    width are rejected, and so is a whole file that starts with neither.
+    """
+    width = F.size("fields")
+    layouts = df.groupBy("file").agg(F.min_by(width, F.col("line_no")).alias("width"))
+    known = df.join(layouts, "file").withColumn(
+        "layout", F.when(F.col("width") == 8, "paired").when(F.col("width") == 4, "single")
+    )
+    good = F.col("layout").isNotNull() & (width == F.col("width"))
+    return known.filter(good).drop("width"), known.filter(~good).drop("width")
+
+
+def zip_mates(r1: DataFrame, r2: DataFrame) -> DataFrame:
+    """Record i of the first file with record i of the second."""
+    second = r2.select("file", "record_no", F.struct(*FIELDS).alias("mate"))
+    return r1.join(second, ["file", "record_no"])
+
+
+def read_key(name: Column) -> Column:
+    return F.split_part(name, F.lit(" "), F.lit(1))
+
+
+def rejoin_mates(r1: DataFrame, r2: DataFrame) -> DataFrame:
+    """Pairs whose id up to the first blank is on both sides, in the second side's order.
+
+    The last of several first-side records with one id is kept, as an aggregate.
+    """
+    kept = (
+        r1.groupBy("file", read_key(F.col("id")).alias("key"))
+        .agg(F.max_by(F.struct(*FIELDS), F.col("record_no")).alias("first"))
+    )
+    second = r2.select("file", read_key(F.col("id")).alias("key"), "record_no", F.struct(*FIELDS).alias("mate"))
+    return second.join(kept, ["file", "key"]).select("file", "record_no", "first.*", "mate")
+
+
+def interleave(df: DataFrame) -> DataFrame:
+    """Records, with or without a ``mate``, as one tab-separated line each."""
+    fields = [F.col(c) for c in FIELDS]
+    if "mate" in df.columns:
+        fields += [F.col("mate")[c] for c in FIELDS]
+    return df.withColumn("line", F.concat_ws("\t", *fields)).drop(*FIELDS, "mate")
+
+
+def deinterleave(df: DataFrame) -> DataFrame:
+    """One-line reads back to records; ``mate_no`` tells the sides of a pair apart."""
+    parts = F.split("line", "\t")
+    sides = F.transform(F.sequence(F.lit(0), (F.size(parts) / 4).cast("int") - 1),
+                        lambda i: F.slice(parts, i * 4 + 1, F.lit(4)))
+    rows = df.select(*[c for c in df.columns if c != "line"], F.posexplode(sides).alias("side", "f"))
+    return rows.select(
+        *[c for c in df.columns if c != "line"], (F.col("side") + 1).alias("mate_no"),
+        *[F.col("f")[i].alias(name) for i, name in enumerate(FIELDS)],
+    )
+
+
+def below(quality: int) -> str:
+    """The phred+33 characters below ``quality``."""
+    return "".join(chr(33 + q) for q in range(quality))
+
+
+def keep_span(df: DataFrame, start: Column, length: Column) -> DataFrame:
+    """Cut ``seq`` and ``qual`` alike; ``start`` is 1-based."""
+    return df.withColumns({c: F.substr(F.col(c), start, length) for c in ("seq", "qual")})
+
+
+def trim_ends(df: DataFrame, left: int = 10, right_quality: int = 25) -> DataFrame:
+    """Drop ``left`` bases, then trailing bases below ``right_quality``."""
+    cut = F.substr("qual", F.lit(left + 1))
+    return keep_span(df, F.lit(left + 1), F.length(F.rtrim(cut, F.lit(below(right_quality)))))
+
+
+def quality_trim(df: DataFrame, lead: int = 3, trail: int = 3, window: int = 4, min_mean: int = 15) -> DataFrame:
+    """Cut low ends, then everything from the first window with a mean below ``min_mean``.
+
+    Ends are cut by trimming the characters of low qualities; the window sums are
+    array expressions over the quality string, so nothing leaves the JVM.
+    """
+    qual = F.col("qual")
+    led = F.ltrim(qual, F.lit(below(lead)))
+    ends = keep_span(
+        df, F.length(qual) - F.length(led) + 1, F.length(F.rtrim(led, F.lit(below(trail))))
+    )
+    scores = F.transform(F.split("qual", ""), lambda c: F.ascii(c) - 33)
+
+    def first_bad(q: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(q) - window)
+        low = F.transform(starts, lambda i: sum((q[i + k] for k in range(1, window)), q[i]) < window * min_mean)
+        return F.array_position(low, F.lit(True))
+
+    # The one-element array binds the scores once for the whole inner expression.
+    position = F.when(
+        F.length("qual") >= window, F.transform(F.array(scores), first_bad)[0]
+    ).otherwise(F.lit(0))
+    length = F.when(F.col("_bad") > 0, F.col("_bad") - 1).otherwise(F.length("qual")).cast("int")
+    return keep_span(ends.withColumn("_bad", position).withColumn("_keep", length), F.lit(1), F.col("_keep")).drop(
+        "_bad", "_keep"
+    )
+
+
+def min_length(df: DataFrame, n: int = 36) -> DataFrame:
+    """Reads of at least ``n`` bases; a pair needs both."""
+    long = F.length("seq") >= n
+    if "mate" in df.columns:
+        long = long & (F.length(F.col("mate.seq")) >= n)
+    return df.filter(long)
+
+
+def same_length(texts: np.ndarray):
+    """(rows, byte matrix) for each length among ``texts``; no read is padded to the longest one."""
+    lengths = np.array([len(s) for s in texts], dtype=np.int64)
+    for width in np.unique(lengths):
+        rows = np.flatnonzero(lengths == width)
+        letters = np.frombuffer("".join(texts[rows]).encode("ascii", "replace"), dtype=np.uint8)
+        yield rows, letters.reshape(len(rows), width)
+
+
+def complexity_score(window: int, step: int, word: int):
+    """Arrow function: entropy of the words of a read, 0 to 100, averaged over windows.
+
+    A new window starts every ``step`` bases while more than ``step`` are left. The
+    entropy of a window of n words is taken to base min(4^word, n), so it is 100 when
+    all words differ. With c the count of the word at each place, it is
+    ln(n) - mean(ln(c)).
+    """
+
+    @F.pandas_udf("double")
+    def score(seq: pd.Series) -> pd.Series:
+        result = np.zeros(len(seq))
+        for rows, bases in same_length(seq.fillna("").to_numpy(dtype=object)):
+            width = bases.shape[1]
+            starts = range(0, max((width - step - 1) // step, 0) * step + 1, step)
+            for start in starts:
+                piece = bases[:, start:start + window].astype(np.int64)
+                n = piece.shape[1] - word + 1
+                if n < 2:
+                    continue
+                codes = sum(piece[:, k:k + n] << (8 * k) for k in range(word))
+                counts = sum((codes == codes[:, [i]]).astype(np.int16) for i in range(n))
+                entropy = np.log(n) - np.log(counts).mean(axis=1)
+                result[rows] += entropy / np.log(min(4**word, n)) * 100 / len(starts)
+        return pd.Series(result)
+
+    # Otherwise a filter on the score would be pushed down and score every read twice.
+    return score.asNondeterministic()
+
+
+def with_complexity(df: DataFrame, window: int = 64, step: int = 32, word: int = 3) -> DataFrame:
+    return df.withColumn("complexity", complexity_score(window, step, word)(F.col("seq")))
+
+
+def drop_low_complexity(df: DataFrame, threshold: float = 65) -> DataFrame:
+    return with_complexity(df).filter(F.round("complexity", 9) >= threshold).drop("complexity")
+
+
+def adapter_position(adapters: list[str], mismatches: int, error_rate: float | None, min_overlap: int | None):
+    """Arrow function: 0-based first position of any adapter in a read, -1 for none.
+
+    A whole adapter may differ in ``mismatches`` bases (or ``error_rate`` of its length).
+    With ``min_overlap`` an adapter may also run over the read's end by any amount
+    that leaves that many bases.
+    """
+    codes = [np.frombuffer(a.encode(), dtype=np.uint8) for a in dict.fromkeys(adapters)]
+
+    def allowed(overlap: int) -> int:
+        return mismatches if error_rate is None else int(overlap * error_rate)
+
+    @F.pandas_udf("int")
+    def position(seq: pd.Series) -> pd.Series:
+        best = np.full(len(seq), np.iinfo(np.int32).max, dtype=np.int64)
+        for rows, bases in same_length(seq.fillna("").to_numpy(dtype=object)):
+            width = bases.shape[1]
+            for code in codes:
+                shortest = len(code) if min_overlap is None else min(min_overlap, len(code))
+                for start in range(0, width - shortest + 1):
+                    overlap = min(len(code), width - start)
+                    differing = (bases[:, start:start + overlap] != code[:overlap]).sum(axis=1)
+                    hit = rows[differing <= allowed(overlap)]
+                    best[hit] = np.minimum(best[hit], start)
+        return pd.Series(np.where(best == np.iinfo(np.int32).max, -1, best).astype("int32"))
+
+    return position.asNondeterministic()
+
+
+def clip_adapters(
+    df: DataFrame,
+    adapters: list[str] = ADAPTERS,
+    mismatches: int = 2,
+    error_rate: float | None = None,
+    min_overlap: int | None = None,
+) -> DataFrame:
+    """Cut each read where the first adapter begins."""
+    find = adapter_position(adapters, mismatches, error_rate, min_overlap)
+    placed = df.withColumn("_at", find(F.col("seq")))
+    length = F.when(F.col("_at") >= 0, F.col("_at")).otherwise(F.length("qual")).alias("length")
+    return keep_span(placed.withColumn("_keep", length), F.lit(1), F.col("_keep")).drop("_at", "_keep")
+
+
+def part_numbers(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Part of each one-line read (file, read_no, line): the bytes before it over ``max_bytes``.
+
+    A part therefore closes with the first record that passes a multiple of the
+    bound and exceeds it by less than a record. The running sum is taken over range
+    partitions, so one huge file is not gathered.
+    """
+    sized = df.withColumn("_bytes", F.octet_length("line") + 1)
+    placed = numbered(sized, ["file"], [F.col("read_no")], name="_rn", total="_n")
+    summed = running_total(placed, ["file"], "_bytes", "_rn", "_before")
+    part = F.floor(F.col("_before") / max_bytes).alias("part")
+    return summed.select(*df.columns, part)

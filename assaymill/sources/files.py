@@ -36,8 +36,9 @@ def scan_id_list(spark: SparkSession, path: str, partitions: int) -> DataFrame:
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """Classified pairs by column name; a blank line gives no row."""
-    return spark.read.csv(path, schema=PAIR_SCHEMA, header=True, emptyValue="").filter("gse_id is not null")
+    """Classified pairs by column name; a blank line gives no row, a missing agent is blank."""
+    pairs = spark.read.csv(path, schema=PAIR_SCHEMA, header=True).filter("gse_id is not null")
+    return pairs.fillna("", ["pert_agent"])
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
