@@ -162,7 +162,7 @@ def complexity_score(window: int, step: int, word: int):
                     continue
                 codes = sum(piece[:, k:k + n] << (8 * k) for k in range(word))
                 counts = sum((codes == codes[:, [i]]).astype(np.int16) for i in range(n))
-                entropy = np.log(n) - np.log(counts).mean(axis=1)
+                entropy = np.log(n) - np.log(counts.astype(np.float64)).mean(axis=1)
                 result[rows] += entropy / np.log(min(4**word, n)) * 100 / len(starts)
         return pd.Series(result)
 
