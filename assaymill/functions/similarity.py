@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 PREFIX_WEIGHT = 0.1
 PREFIX_LENGTH = 4
@@ -40,7 +40,7 @@ def jaro_winkler_score(a: str, b: str) -> float:
     return score
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     known: dict[tuple[str, str], float] = {}
     scores = []
@@ -56,7 +56,7 @@ def jaro_winkler(a: Column, b: Column) -> Column:
     return F.round(_jaro_winkler(a, b), 9)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sparse_dot(ids_a: pd.Series, weights_a: pd.Series, ids_b: pd.Series, weights_b: pd.Series) -> pd.Series:
     """Dot product of sparse vectors given as arrays of distinct ids and weights."""
     dots = np.zeros(len(ids_a))
