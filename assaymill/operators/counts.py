@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from assaymill.operators.ordering import quantiles
+
 
 def sum_counts(df: DataFrame) -> DataFrame:
     """Counts per (sample, gene) over all parts; summed before the shuffle."""
@@ -39,14 +41,9 @@ def library_cpm(df: DataFrame, by: list[str] = ["sample"]) -> DataFrame:
 
 
 def value_quantiles(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """0, .25, .5, .75, .99 and 1 quantiles with linear interpolation, ignoring NULLs.
-
-    Exact: ``percentile`` merges value counts, so copies of a value cost one entry.
-    """
-    probabilities = F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)])
-    quantiles = df.groupBy(*by).agg(F.percentile(value, probabilities).alias("q"))
-    names = ["q0", "q25", "q50", "q75", "q99", "q100"]
-    return quantiles.select(*by, *[F.col("q")[i].alias(name) for i, name in enumerate(names)])
+    """0, .25, .5, .75, .99 and 1 quantiles with linear interpolation, ignoring NULLs."""
+    names = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99, "q100": 1.0}
+    return quantiles(df, by, value, names)
 
 
 def slice_matrix(matrix: DataFrame, samples: DataFrame) -> DataFrame:

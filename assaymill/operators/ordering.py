@@ -89,3 +89,46 @@ def running_total(df: DataFrame, keys: list[str], value: str, position: str, nam
         .withColumn(name, F.col("_here") + F.col("_base"))
         .drop("_here", "_base")
     )
+
+
+def value_spans(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Distinct non-NULL values per key with the rows below (``before``), at (``size``) and in all (``total``).
+
+    Equal values are counted before anything is sorted, so a value shared by most rows
+    is one row here. The frame is ``numbered`` by value.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("size"))
+    placed = numbered(counts, keys, [F.col(value)], name="rn", total="n_values")
+    summed = running_total(placed, keys, "size", "rn", "before")
+    totals = summed.groupBy(*keys).agg(F.sum("size").alias("total"))
+    return summed.join(totals, keys) if keys else summed.crossJoin(F.broadcast(totals))
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, names: dict[str, float]) -> DataFrame:
+    """Exact quantiles per key with linear interpolation, one column per name."""
+    spans = value_spans(df, keys, value)
+
+    def at(rank: Column) -> Column:
+        inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("size"))
+        return F.max(F.when(inside, F.col(value).cast("double")))
+
+    ends = []
+    for name, share in names.items():
+        place = (F.col("total") - 1) * F.lit(share)
+        low = F.floor(place)
+        ends += [at(low).alias(f"{name}_lo"), at(F.least(low + 1, F.col("total") - 1)).alias(f"{name}_hi")]
+    bounds = spans.groupBy(*keys).agg(*ends, F.max("total").alias("total"))
+
+    def between(name: str, share: float) -> Column:
+        place = (F.col("total") - 1) * F.lit(share)
+        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        return (low + (high - low) * (place - F.floor(place))).alias(name)
+
+    return bounds.select(*keys, *[between(name, share) for name, share in names.items()])
+
+
+def average_rank(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Ascending rank of ``value`` within its key; equal values share their mean rank."""
+    rank = F.col("before") + (F.col("size") + 1) / 2
+    ranks = value_spans(df, keys, value).select(*keys, value, rank.alias(name))
+    return df.join(ranks, [*keys, value])
