@@ -96,7 +96,7 @@ def tmm_factors(df: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) -> Dat
     )
     reference = df.join(nearest, ["pair", "sample"]).select("pair", "gene", F.col("value").alias("ref"), "ref_lib")
     share, ref_share = F.col("value") / F.col("lib_size"), F.col("ref") / F.col("ref_lib")
-    ratios = (
+    ratios = cut(
         df.join(sizes, ["pair", "sample"])
         .join(reference, ["pair", "gene"])
         .filter("value > 0 and ref > 0")
@@ -111,7 +111,7 @@ def tmm_factors(df: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) -> Dat
         )
     )
     keys = ["pair", "sample"]
-    ranked = average_rank(average_rank(cut(ratios), keys, "m", "rank_m"), keys, "a", "rank_a")
+    ranked = average_rank(average_rank(ratios, keys, "m", "rank_m"), keys, "a", "rank_a")
     counts = ratios.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("m")).alias("most"))
 
     def inside(rank: str, share: float) -> Column:
@@ -128,8 +128,11 @@ def tmm_factors(df: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) -> Dat
         "log_factor", F.when(F.col("most") >= 1e-6, F.col("log_factor")).otherwise(F.lit(0.0))
     )
     centre = raw.groupBy("pair").agg(F.avg("log_factor").alias("centre"))
-    return raw.join(centre, "pair").select(
-        *keys, "lib_size", F.pow(F.lit(2.0), F.col("log_factor") - F.col("centre")).alias("factor")
+    # One row per sample, used more than once by what follows.
+    return cut(
+        raw.join(centre, "pair").select(
+            *keys, "lib_size", F.pow(F.lit(2.0), F.col("log_factor") - F.col("centre")).alias("factor")
+        )
     )
 
 
@@ -247,6 +250,7 @@ def moderated_t(df: DataFrame, trend: bool = False, proportion: float = 0.01) ->
     Gene variances shrink to a common prior (or trend). The prior variance of the
     contrast behind ``b`` comes from the leading genes of each pair, as published.
     """
+    df = cut(df)
     x = F.col("ave_expr")
     prior = F.exp(F.col("curve")[0] + F.col("curve")[1] * x + F.col("curve")[2] * x * x + F.col("lift"))
     weight = F.col("d0") / (F.col("d0") + F.col("df"))
@@ -285,7 +289,7 @@ def contrast_priors(df: DataFrame, proportion: float, low: float = 0.1, high: fl
         .withColumn("t_even", even)
     )
     leading = (
-        numbered(values, ["pair"], [F.desc("t_even"), F.col("gene")])
+        numbered(values, ["pair"], [F.desc("t_even"), F.col("gene")], total="_n")
         .filter(F.col("rn") <= size)
         .withColumn("p", F.greatest(size / F.col("n"), F.lit(proportion)))
     )
@@ -330,7 +334,7 @@ def bh_adjust(df: DataFrame, by: list[str], p: str = "p_value", name: str = "adj
     """Benjamini-Hochberg adjusted p-values per key; computed once per distinct p-value."""
     spans = value_spans(df, by, p)
     scaled = spans.withColumn("_q", F.col(p) * F.col("total") / (F.col("before") + F.col("size")))
-    lowest = running_min_from_end(scaled, by, "_q", "rn", "_low")
+    lowest = running_min_from_end(scaled, by, "_q", p, "_low")
     adjusted = lowest.select(*by, p, F.least("_low", F.lit(1.0)).alias(name))
     return df.join(adjusted, [*by, p], "left")
 

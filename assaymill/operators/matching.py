@@ -14,7 +14,7 @@ CHUNK = 4096
 def sample_position(df: DataFrame) -> DataFrame:
     """0-based position of each sample within its series, by sample id."""
     placed = numbered(df, ["gse"], [F.col("gsm")], name="position", total="_n")
-    return placed.withColumn("position", F.col("position") - 1).drop("_part", "_n")
+    return placed.withColumn("position", F.col("position") - 1).drop("_n")
 
 
 def cluster_groups(clustered: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -24,20 +24,22 @@ def first_by(df: DataFrame, keys: list[str], order: list[str], descending: bool
     return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
+def spread(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """``df`` sorted over range partitions, written down with ``_part`` and a rising ``_id``.
+
+    The cut fixes which row lies where, so that a recomputed task cannot move a border.
+    """
+    by = [F.col(k) for k in keys] + order
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id())
+    return cut(ranged.withColumn("_part", F.shiftright("_id", 33)))
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn", total: str = "n") -> DataFrame:
     """1-based position of each row within its key, and the size of the key.
 
-    ``order`` must be unique within a key. The result keeps ``_part``, the range
-    partition of the row, for ``running_extreme``.
+    ``order`` must be unique within a key.
     """
-    key_columns = [F.col(k) for k in keys]
-    ranged = (
-        df.repartitionByRange(*key_columns, *order)
-        .sortWithinPartitions(*key_columns, *order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", 33))
-    )
-    fixed = cut(ranged)
+    fixed = spread(df, keys, order)
     spans = fixed.groupBy(*keys, "_part").agg(F.min("_id").alias("_low"), F.count(F.lit(1)).alias("_size"))
     every = Window.partitionBy(*keys)
     before = every.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -50,12 +52,41 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "r
     return (
         fixed.join(spans, [*keys, "_part"])
         .withColumn(name, F.col("_id") + F.col("_shift"))
-        .drop("_id", "_shift")
+        .drop("_id", "_shift", "_part")
+    )
+
+
+def running_total(
+    df: DataFrame, keys: list[str], order: list[Column], value: str, name: str, total: str = "_total"
+) -> DataFrame:
+    """Sum of ``value`` over the rows of the key before this one, and over all of them.
+
+    ``order`` must be unique within a key. The result keeps ``_part`` for
+    ``running_min_from_end``.
+    """
+    fixed = spread(df, keys, order)
+    earlier = Window.unboundedPreceding, -1
+    every = Window.partitionBy(*keys)
+    parts = (
+        fixed.groupBy(*keys, "_part")
+        .agg(F.sum(value).alias("_sum"))
+        .select(
+            *keys, "_part",
+            F.coalesce(F.sum("_sum").over(every.orderBy("_part").rowsBetween(*earlier)), F.lit(0)).alias("_base"),
+            F.sum("_sum").over(every).alias(total),
+        )
+    )
+    here = F.sum(value).over(Window.partitionBy(*keys, "_part").orderBy("_id").rowsBetween(*earlier))
+    return (
+        fixed.withColumn("_here", F.coalesce(here, F.lit(0)))
+        .join(parts, [*keys, "_part"])
+        .withColumn(name, F.col("_here") + F.col("_base"))
+        .drop("_here", "_base", "_id")
     )
 
 
 def running_min_from_end(df: DataFrame, keys: list[str], value: str, position: str, name: str) -> DataFrame:
-    """Minimum of ``value`` over this and all later positions of a ``numbered`` frame."""
+    """Minimum of ``value`` over this and all later positions of a ``running_total`` frame."""
     later_rows = (
         Window.partitionBy(*keys, "_part").orderBy(F.desc(position)).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -73,35 +104,14 @@ def running_min_from_end(df: DataFrame, keys: list[str], value: str, position: s
     )
 
 
-def running_total(df: DataFrame, keys: list[str], value: str, position: str, name: str) -> DataFrame:
-    """Sum of ``value`` over all earlier positions of a ``numbered`` frame, 0 at the first."""
-    before = Window.unboundedPreceding, -1
-    rows = Window.partitionBy(*keys, "_part").orderBy(position).rowsBetween(*before)
-    earlier_parts = Window.partitionBy(*keys).orderBy("_part").rowsBetween(*before)
-    parts = (
-        df.groupBy(*keys, "_part")
-        .agg(F.sum(value).alias("_sum"))
-        .select(*keys, "_part", F.coalesce(F.sum("_sum").over(earlier_parts), F.lit(0)).alias("_base"))
-    )
-    return (
-        df.withColumn("_here", F.coalesce(F.sum(value).over(rows), F.lit(0)))
-        .join(parts, [*keys, "_part"])
-        .withColumn(name, F.col("_here") + F.col("_base"))
-        .drop("_here", "_base")
-    )
-
-
 def value_spans(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Distinct non-NULL values per key with the rows below (``before``), at (``size``) and in all (``total``).
 
     Equal values are counted before anything is sorted, so a value shared by most rows
-    is one row here. The frame is ``numbered`` by value.
+    is one row here.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("size"))
-    placed = numbered(counts, keys, [F.col(value)], name="rn", total="n_values")
-    summed = running_total(placed, keys, "size", "rn", "before")
-    totals = summed.groupBy(*keys).agg(F.sum("size").alias("total"))
-    return summed.join(totals, keys) if keys else summed.crossJoin(F.broadcast(totals))
+    return running_total(counts, keys, [F.col(value)], "size", "before", "total")
 
 
 def quantiles(df: DataFrame, keys: list[str], value: str, names: dict[str, float]) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assaymill.operators.ordering import numbered, running_total
+from assaymill.operators.ordering import running_total
 
 FIELDS = ["id", "seq", "plus", "qual"]
 
@@ -229,7 +229,6 @@ def part_numbers(df: DataFrame, max_bytes: int) -> DataFrame:
     partitions, so one huge file is not gathered.
     """
     sized = df.withColumn("_bytes", F.octet_length("line") + 1)
-    placed = numbered(sized, ["file"], [F.col("read_no")], name="_rn", total="_n")
-    summed = running_total(placed, ["file"], "_bytes", "_rn", "_before")
+    summed = running_total(sized, ["file"], [F.col("read_no")], "_bytes", "_before")
     part = F.floor(F.col("_before") / max_bytes).alias("part")
     return summed.select(*df.columns, part)
