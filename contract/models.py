@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from assaymill.functions.text import STOP_WORDS
 from assaymill.operators import features, models, scores
 from assaymill.operators.training_sets import exact_split
+from assaymill.plans.classify import Models, classify
 from assaymill.session import cut, scratch_folder
 from assaymill.sources import files, sinks
+from contract.catalog import catalog_of
 from contract.registry import big, query, r6
 from contract.standins import Tables
 
@@ -117,7 +119,7 @@ def default_training(t: Tables):
     return report.select("class", *[F.round(c, 3).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
-def text_model(t: Tables, train, text_length: int | None = None) -> PipelineModel:
+def text_model(train) -> PipelineModel:
     fitted = features.fit_features(train, max_df=0.5)
     model = NaiveBayes(smoothing=1.0).fit(fitted.transform(train).select("features", "label"))
     return PipelineModel([*fitted.stages, model])
@@ -127,7 +129,7 @@ def text_model(t: Tables, train, text_length: int | None = None) -> PipelineMode
 def model_roundtrip(t: Tables):
     path = scratch_folder(t.spark, "model")
     rows = cut(labelled(t))
-    model = text_model(t, rows)
+    model = text_model(rows)
     sinks.save_model(model, path)
     before = models.predict(rows, model, "before")
     after = models.predict(rows, sinks.load_model(path), "after").select("doc_id", "after")
@@ -136,7 +138,7 @@ def model_roundtrip(t: Tables):
 
 @query("predict_types")
 def predict_types(t: Tables):
-    model = text_model(t, cut(labelled(t)))
+    model = text_model(cut(labelled(t)))
     samples = t.samples.select("gsm", F.col("title").alias("text"))
     named = F.when(F.col("prediction") == 1, "pert").otherwise("ctrl")
     return models.predict(samples, model).select("gsm", named.alias("type"))
@@ -145,7 +147,7 @@ def predict_types(t: Tables):
 @query("verdict_flags")
 def verdict_flags(t: Tables):
     rows = cut(labelled(t))
-    model = text_model(t, rows)
+    model = text_model(rows)
     return models.verdict(t.series, model, model, 1.0).select("gse", "is_pert_title", "is_pert_summary")
 
 
@@ -238,3 +240,10 @@ def tuning_table(t: Tables):
         r6(low / 2).alias("ori_precision"), r6(low / 4).alias("ori_recall"), r6(low).alias("ori_f1"),
         r6(high / 2).alias("opt_precision"), r6(high / 4).alias("opt_recall"), r6(high).alias("opt_f1"))
     return scores.tuning_table(rows)
+
+
+@query("classify_archive")
+def classify_archive(t: Tables):
+    """The whole first job on the catalog stand-in, with one naive Bayes model in all three roles."""
+    model = text_model(cut(labelled(t)))
+    return classify(catalog_of(t), Models(model, model, model), t.terms, t.aliases)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from assaymill.functions.text import accession_path
 from assaymill.operators import reads as ops
+from assaymill.plans.prepare import both_mates, entropy_recipe, prepare_reads, window_recipe
 from assaymill.session import scratch_folder
 from assaymill.sources import files, sinks
 from contract.registry import big, query, r6
@@ -212,3 +213,15 @@ CLIP_SQL = " union all ".join(
     from px_reads left join h using (file, read_no)""")
 def adapter_clip(t: Tables):
     return ops.clip_adapters(t.reads.drop("id"), mismatches=9)
+
+
+@query("prepared_reads")
+def prepared_reads(t: Tables):
+    """Both sides of each pair through the window recipe, then re-joined."""
+    pairs = ops.zip_mates(mate(t, 1, "read_no div 2"), mate(t, 2, "read_no div 2"))
+    return flat(both_mates(pairs, window_recipe()))
+
+
+@query("entropy_prepared_reads")
+def entropy_prepared_reads(t: Tables):
+    return prepare_reads(t.reads, entropy_recipe())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaymill.operators import lookups, routing as ops
+from assaymill.plans.analyse import analyse, route_pairs
 from assaymill.session import scratch_folder
 from assaymill.sources import sinks
 from contract.catalog import catalog_of
@@ -101,3 +102,26 @@ def routed_sink(t: Tables):
         for name, df in frames.items()
     ]
     return ops.union_routes(*back)
+
+
+def with_faulty(t: Tables):
+    """The pairs, and as many again whose perturbed list was lost."""
+    faulty = t.pairs.withColumn("pert_gsm_ids", F.lit("")).withColumn("gse_id", F.concat(F.col("gse_id"), F.lit("E")))
+    return t.pairs.unionByName(faulty)
+
+
+@query("route_annotate", "with " + ROUTED_SQL + """
+    select gse_id, pert_agent, organism, direction, route, cast(null as varchar) command from routed
+    union all select gse_id || 'E', pert_agent, organism, direction, 'error', 'no perturbed sample' from routed""")
+def route_annotate(t: Tables):
+    routed_pairs = route_pairs(with_faulty(t), catalog_of(t), matrix_with_organism(t))
+    return routed_pairs.select("gse_id", "pert_agent", "organism", "direction", "route", "command")
+
+
+@query("analyse_pairs")
+def analyse_pairs(t: Tables):
+    arrays = t.matrix.selectExpr("gene probe", "sample", "count value", "concat('SYM', cast(substr(gene, 2) as int) div 2) symbol")
+    frames = analyse(with_faulty(t), catalog_of(t), matrix_with_organism(t), t.runs, arrays, use_flags=False)
+    return ops.union_routes(*[
+        df.selectExpr("gse_id").groupBy("gse_id").agg(F.count(F.lit(1)).alias("n")).withColumn("route", F.lit(name))
+        for name, df in frames.items()])
