@@ -180,13 +180,11 @@ def test_neighbours_match_brute_force(spark, monkeypatch):
         assert row["prediction"] == min(set(votes), key=lambda y: (-votes.count(y), y))
 
 
-@pytest.mark.parametrize("name", sorted(models.classifiers()))
-def test_classifiers_separate_two_clouds(spark, name):
+def test_classifiers_separate_two_clouds(spark):
     rng = np.random.default_rng(4)
-    rows = [(np.abs(rng.normal(size=4) * 0.2 + (np.array([1, 1, 0, 0]) if i % 2 else np.array([0, 0, 1, 1]))), i % 2)
-            for i in range(60)]
-    if name == "BernoulliNB":
-        rows = [(np.where(x > 0.5, x, 0.0), y) for x, y in rows]
-    fit = models.classifiers(trees=5, boosts=2, rounds=5)[name]
-    frame = vectors(spark, rows)
-    assert models.score(fit(frame)(frame))["f1"] > 0.9
+    sides = np.array([[0, 0, 1, 1], [1, 1, 0, 0]])
+    rows = [(np.abs(rng.normal(size=4) * 0.2 + sides[i % 2]), i % 2) for i in range(60)]
+    clouds, switches = vectors(spark, rows), vectors(spark, [(np.where(x > 0.5, x, 0.0), y) for x, y in rows])
+    for name, fit in models.classifiers(trees=5, boosts=2, rounds=5).items():
+        frame = switches if name == "BernoulliNB" else clouds
+        assert models.score(fit(frame)(frame))["f1"] > 0.9, name
