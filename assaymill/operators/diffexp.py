@@ -77,6 +77,7 @@ def drop_low_counts(
 def tmm_factors(df: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) -> DataFrame:
     """(pair, sample, lib_size, factor): trimmed mean of log ratios to a reference sample.
 
+    Pass a frame that is cheap to read again (written or cut): it is read several times.
     The reference sample has the upper quartile nearest to the mean one. Ratios are
     ranked to ten places, so that equal ones tie however they were computed.
     """

@@ -90,7 +90,7 @@ def low_count_filter(t: Tables):
 
 @query("tmm_factors", f"with {TMM_SQL} select pair, sample, cast(lib_size as bigint) lib_size, round(factor, 6) + 0.0 factor from fac")
 def tmm_factors(t: Tables):
-    factors = ops.tmm_factors(ops.drop_low_counts(selected(t)))
+    factors = ops.tmm_factors(cut(ops.drop_low_counts(selected(t))))
     return factors.withColumn("factor", r6("factor"))
 
 

@@ -136,9 +136,16 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        """The documents, dealt out over the cores when the file is too small to be split over them."""
+        rows = self.table("documents")
+        few = rows.rdd.getNumPartitions() < self.spark.sparkContext.defaultParallelism
+        return rows.repartition("doc_id") if few else rows
+
     @cached_property
     def series(self) -> DataFrame:
-        return self.table("documents").selectExpr(
+        return self.documents.selectExpr(
             "concat('GSE', doc_id) gse",
             "translate(split_part(text, '\n', 1), 'éç', 'αβ') title",
             "concat(text, case doc_id % 3 when 0 then ' overexpressed transgenic'"
@@ -148,7 +155,7 @@ class Tables:
 
     @cached_property
     def samples(self) -> DataFrame:
-        return self.table("documents").selectExpr(
+        return self.documents.selectExpr(
             "concat('GSM', doc_id) gsm",
             "concat('GPL', substr(source, 4)) gpl",
             "split_part(text, '\n', 1) title",
@@ -334,7 +341,7 @@ class Tables:
         letters, bases = "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC"
         scores = "#%+05:?DIIIIII5?IIIIIII+#%"
         return (
-            self.table("documents")
+            self.documents
             .selectExpr("doc_id", "source", "regexp_replace(lower(text), '[^a-z]', '') s")
             .filter("length(s) > 0")
             .selectExpr("doc_id", "source", "s", "explode(sequence(0, (length(s) + 79) div 80 - 1)) i")
@@ -350,7 +357,7 @@ class Tables:
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return self.table("labels").join(self.table("documents").select("doc_id", "text"), "doc_id")
+        return self.documents.select("doc_id", "text").join(self.table("labels"), "doc_id")
 
     @cached_property
     def scores(self) -> DataFrame:
