@@ -19,7 +19,7 @@ VIEWS: dict[str, str] = {
                case when doc_id % 2 = 0 then source end overall_design
         from documents""",
     "px_sample": """
-        select 'GSM' || doc_id gsm, 'GPL' || substr(source, 4) gpl,
+        select 'GSM' || doc_id gsm, 'GPL' || ((doc_id // 10 + doc_id % 3) % 20) gpl,
                split_part(text, chr(10), 1) title, source source_name_ch1,
                case when doc_id % 4 <> 0 then text end description,
                'lang: ' || lang characteristics_ch1,
@@ -33,11 +33,10 @@ VIEWS: dict[str, str] = {
         select 'GSE' || s gse, 'GSM' || doc_id gsm
         from (select doc_id, unnest(list_distinct([doc_id, doc_id - doc_id % 10])) s from documents)""",
     "px_platform": """
-        select distinct 'GPL' || substr(source, 4) gpl,
-               case cast(substr(source, 4) as int) % 4 when 0 then 'in situ oligonucleotide'
-                   when 1 then 'high-throughput sequencing' when 2 then 'oligonucleotide beads'
-                   else 'other' end technology
-        from documents""",
+        select distinct 'GPL' || n gpl,
+               case n % 4 when 0 then 'in situ oligonucleotide' when 1 then 'high-throughput sequencing'
+                   when 2 then 'oligonucleotide beads' else 'other' end technology
+        from (select (doc_id // 10 + doc_id % 3) % 20 n from documents)""",
     "px_series_platform": """
         select distinct l.gse, s.gpl from px_link l join px_sample s using (gsm)""",
     "px_curated": """
@@ -157,7 +156,7 @@ class Tables:
     def samples(self) -> DataFrame:
         return self.documents.selectExpr(
             "concat('GSM', doc_id) gsm",
-            "concat('GPL', substr(source, 4)) gpl",
+            "concat('GPL', (doc_id div 10 + doc_id % 3) % 20) gpl",
             "split_part(text, '\n', 1) title",
             "source source_name_ch1",
             "case when doc_id % 4 <> 0 then text end description",
@@ -181,13 +180,14 @@ class Tables:
     def platforms(self) -> DataFrame:
         return (
             self.table("documents")
+            .selectExpr("(doc_id div 10 + doc_id % 3) % 20 n")
+            .distinct()
             .selectExpr(
-                "concat('GPL', substr(source, 4)) gpl",
-                "case cast(substr(source, 4) as int) % 4 when 0 then 'in situ oligonucleotide'"
+                "concat('GPL', n) gpl",
+                "case n % 4 when 0 then 'in situ oligonucleotide'"
                 " when 1 then 'high-throughput sequencing' when 2 then 'oligonucleotide beads'"
                 " else 'other' end technology",
             )
-            .distinct()
         )
 
     @cached_property
