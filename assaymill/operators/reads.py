@@ -145,8 +145,8 @@ def complexity_score(window: int, step: int, word: int):
 
     A new window starts every ``step`` bases while more than ``step`` are left. The
     entropy of a window of n words is taken to base min(4^word, n), so it is 100 when
-    all words differ. Scores are given to nine places. With c the count of the word at each place, it is
-    ln(n) - mean(ln(c)).
+    all words differ. With c the count of the word at each place, it is
+    the mean of -ln(c / n).
     """
 
     @F.pandas_udf("double")
@@ -162,9 +162,9 @@ def complexity_score(window: int, step: int, word: int):
                     continue
                 codes = sum(piece[:, k:k + n] << (8 * k) for k in range(word))
                 counts = sum((codes == codes[:, [i]]).astype(np.int16) for i in range(n))
-                entropy = np.log(n) - np.log(counts.astype(np.float64)).mean(axis=1)
+                entropy = -np.log(counts / n).mean(axis=1)
                 result[rows] += entropy / np.log(min(4**word, n)) * 100 / len(starts)
-        return pd.Series(result.round(9))
+        return pd.Series(result)
 
     # Otherwise a filter on the score would be pushed down and score every read twice.
     return score.asNondeterministic()
@@ -175,7 +175,7 @@ def with_complexity(df: DataFrame, window: int = 64, step: int = 32, word: int =
 
 
 def drop_low_complexity(df: DataFrame, threshold: float = 65) -> DataFrame:
-    return with_complexity(df).filter(F.col("complexity") >= threshold).drop("complexity")
+    return with_complexity(df).filter(F.round("complexity", 9) >= threshold).drop("complexity")
 
 
 def adapter_position(adapters: list[str], mismatches: int, error_rate: float | None, min_overlap: int | None):
