@@ -188,3 +188,9 @@ def test_classifiers_separate_two_clouds(spark):
     for name, fit in models.classifiers(trees=5, boosts=2, rounds=5).items():
         frame = switches if name == "BernoulliNB" else clouds
         assert models.score(fit(frame)(frame))["f1"] > 0.9, name
+
+
+def test_options_without_a_spark_form_fail(spark):
+    for name, point in (("svc", {"loss": "squared_hinge"}), ("sgd", {"loss": "perceptron"}), ("bnb", {"fit_prior": False})):
+        with pytest.raises(ValueError):
+            models.TUNABLE[name](point)
