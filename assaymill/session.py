@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,16 +33,10 @@ def build_session(app: str = "assaymill", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a folder of its own.
+    A session without the setting uses a folder of the warehouse, which is shared as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="assaymill-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
