@@ -2,21 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
 
-from assaymill.llm import exact
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from assaymill.llm import bpe, exact, mixing, private, quality, simhash
+
+#: Folder of the public vocabulary files.
+VOCABULARIES = os.environ.get("VOCABULARY_DIR", "/opt/tokenizers")
+#: Shares of the mixed tokens.
+MIX = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_private_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return private.digest(private.personal_spans(table(spark, folder, "documents")))
+
+
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents"))
+
+
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{VOCABULARIES}/byte_bpe_50k.json"
+    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents"), table(spark, folder, "labels"), MIX)
+
+
 QUERIES = {
+    "op1_private_spans": op1_private_spans,
+    "op2_simhash": op2_simhash,
+    "op3_quality_rules": op3_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_bpe": op5_bpe,
+    "op9_mixing": op9_mixing,
 }
 
 SQL = {
