@@ -39,8 +39,8 @@ def byte_table() -> dict[str, int]:
 class Encoder:
     """Encodes and decodes as the tokenizers library does, without truncation, padding or added tokens."""
 
-    def __init__(self, path: str, leaf: int = LEAF):
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, vocabulary: str, leaf: int = LEAF):
+        self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.leaf = leaf
@@ -125,17 +125,24 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
 
 
+def read_vocabulary(path: str) -> str:
+    """The vocabulary file, read by the driver and sent along with the tasks."""
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
 def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     """(doc_id, ids) for each row of ``docs``: the ids of the whole text.
 
     A null or empty text has no ids; rows that repeat a doc_id each get theirs, and a
     null doc_id stays null.
     """
+    vocabulary = read_vocabulary(path)
     rows = plain(docs)
     unsplit = (F.length("text") > leaf) & F.exists(F.split("text", "[ \n]"), lambda w: F.length(w) > leaf)
 
     def whole(batches):
-        encoder = Encoder(path, leaf)
+        encoder = Encoder(vocabulary, leaf)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
@@ -143,7 +150,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(ids)], ["doc_id", "ids"])
 
     def leaves(batches):
-        encoder = Encoder(path, leaf)
+        encoder = Encoder(vocabulary, leaf)
         for batch in batches:
             for doc_id, digest, copies, text in zip(*(batch.column(c).to_pylist() for c in ["doc_id", "digest", "copies", "text"])):
                 out = []
@@ -169,14 +176,14 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
                 )
 
     def encode_leaves(batches):
-        encoder = Encoder(path, leaf)
+        encoder = Encoder(vocabulary, leaf)
         for batch in batches:
             ids = encoder.encode_batch(batch.column("text").to_pylist())
             columns = [batch.column(c) for c in ["doc_id", "digest", "copies", "place", "stretch"]]
             yield pa.RecordBatch.from_arrays([*columns, _lists(ids)], ["doc_id", "digest", "copies", "place", "stretch", "ids"])
 
     def concatenated(rows: pd.DataFrame) -> pd.DataFrame:
-        encoder = Encoder(path, leaf)
+        encoder = Encoder(vocabulary, leaf)
         rows = rows.sort_values("place")
         parts: list[list[np.ndarray]] = []
         last = None
@@ -206,9 +213,10 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """Adds ``text``, the decoded ``ids``, to (doc_id, ids)."""
+    vocabulary = read_vocabulary(path)
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder = Encoder(vocabulary)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)

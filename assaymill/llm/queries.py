@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaymill.llm import bpe, exact, mixing, private, quality, simhash
+from assaymill.llm import bpe, counts, exact, language, mixing, private, quality, secrets, simhash
+from assaymill.llm.pieces import read_pieces
 
 #: Folder of the public vocabulary files.
 VOCABULARIES = os.environ.get("VOCABULARY_DIR", "/opt/tokenizers")
@@ -45,6 +46,18 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return counts.token_counts(table(spark, folder, "documents"), read_pieces(f"{VOCABULARIES}/byte_bpe_50k.tiktoken"))
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"), read_pieces(f"{VOCABULARIES}/byte_bpe_multi_50k.tiktoken"))
+
+
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.secret_spans(table(spark, folder, "documents")))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"), table(spark, folder, "labels"), MIX)
 
@@ -55,6 +68,9 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
+    "op6_token_counts": op6_token_counts,
+    "op7_language": op7_language,
+    "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
 }
 
