@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaymill.llm import bpe, counts, exact, language, mixing, private, quality, secrets, simhash
+from assaymill.llm import bpe, counts, exact, language, mixing, private, quality, repeats, secrets, simhash
 from assaymill.llm.pieces import read_pieces
 
 #: Folder of the public vocabulary files.
@@ -62,6 +62,11 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"), table(spark, folder, "labels"), MIX)
 
 
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    done = repeats.remove_repeats(table(spark, folder, "documents"))
+    return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 QUERIES = {
     "op1_private_spans": op1_private_spans,
     "op2_simhash": op2_simhash,
@@ -72,6 +77,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op10_repeats": op10_repeats,
 }
 
 SQL = {
