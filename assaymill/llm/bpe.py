@@ -24,7 +24,7 @@ LEAF = 16384
 #: Tokens on either side of a window that must come out as before.
 AGREE = 4
 #: Words an encoder remembers before it starts anew.
-KNOWN = 200_000
+KNOWN = 300_000
 
 _SPLIT = re.compile(r"(?<=\S)(?=[ \n])")
 
@@ -44,7 +44,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.leaf = leaf
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {"": b""}
         chars = byte_table()
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
@@ -52,6 +52,7 @@ class Encoder:
         self.bytes: list[bytes] = [b""] * size
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.bytes[i] = token.encode() if i in added else bytes(chars[c] for c in token)
+        self.sizes = np.array([len(b) for b in self.bytes])
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
@@ -60,16 +61,26 @@ class Encoder:
         """Ids of each text; stretches beyond a leaf are joined here as well."""
         split = [_SPLIT.split(t) for t in texts]
         if len(self.known) > KNOWN:
-            self.known = {}
-        new = [w for w in {w for words in split for w in words} if w and w not in self.known]
-        short = [w for w in new if len(w) <= self.leaf]
-        for word, found in zip(short, self.tokenizer.encode_batch(short, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype=np.int32)
+            self.known = {"": b""}
+        known = self.known
+        new = [w for w in {w for words in split for w in words} if w not in known]
+        short = [w for w in new if len(w) <= self.leaf and w[0] in " \n" and w[-1] not in " \n"]
+        for start in range(0, len(short), 2048):
+            self.learn(short[start : start + 2048])
         for word in new:
             if len(word) > self.leaf:
-                self.known[word] = self.joined([self.plain(h) for h in self.halves(word)])
-        self.known[""] = np.array([], dtype=np.int32)
-        return [np.concatenate([self.known[w] for w in words]) for words in split]
+                known[word] = self.joined([self.plain(h) for h in self.halves(word)]).tobytes()
+            elif word not in known:
+                known[word] = self.plain(word).tobytes()
+        return [np.frombuffer(b"".join([known[w] for w in words]), dtype=np.int32) for words in split]
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of words that begin with a space or newline and end otherwise: such a word ends where the next begins, so all are one text."""
+        ids = self.plain("".join(words))
+        ends = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in words])) + 1
+        for word, a, b in zip(words, [0, *last[:-1]], last):
+            self.known[word] = ids[a:b].tobytes()
 
     def halves(self, text: str) -> list[str]:
         """Leaves of ``text`` in order; no special token is cut."""
@@ -96,20 +107,35 @@ class Encoder:
             parts = pairs + parts[len(pairs) * 2 :]
         return parts[0]
 
+    def open_edge(self, ids: np.ndarray, at: int) -> bool:
+        """Could the text be split otherwise next to this place if it began or ended here?
+
+        So it could inside a character, and beside white space or an apostrophe, which
+        the pre-tokenizer reads together with what follows.
+        """
+        if at in (0, len(ids)):
+            return False
+        if self.bytes[ids[at]][0] & 0xC0 == 0x80:
+            return True
+        before = self.decode_bytes(ids[max(0, at - 8) : at]).decode(errors="ignore")[-1:]
+        after = self.decode_bytes(ids[at : at + 8]).decode(errors="ignore")[:1]
+        return any(not c or c.isspace() or c == "'" for c in (before, after))
+
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ids of the concatenated texts of ``left`` and ``right``.
 
         Tokens are those of the whole text if each neighbouring two are tokens of their
-        own text. Inside a side and inside the window that holds; it holds across the
-        window's ends too when the window gives the same tokens there as the side does.
-        A window of both whole sides is right in any case.
+        own text, and no split depends on what lies beyond a window's end. Inside a side
+        and inside the window that holds; it holds across the window's ends too when the
+        window gives the same tokens there as the side does. A window of both whole sides
+        is right in any case.
         """
         width = 4 * AGREE
         while True:
             a, b = max(0, len(left) - width), min(len(right), width)
-            while a and self.bytes[left[a]][0] & 0xC0 == 0x80:
+            while self.open_edge(left, a):
                 a -= 1
-            while b < len(right) and self.bytes[right[b]][0] & 0xC0 == 0x80:
+            while self.open_edge(right, b):
                 b += 1
             window = self.plain(self.decode(left[a:]) + self.decode(right[:b]))
             head = a == 0 or np.array_equal(window[:AGREE], left[a : a + AGREE])
@@ -131,14 +157,16 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
-    """(doc_id, ids) for each row of ``docs``: the ids of the whole text.
+def encode(docs: DataFrame, path: str, leaf: int = LEAF, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) for each row of ``docs``: the ids of the whole text; with ``decoded`` also their text.
 
     A null or empty text has no ids; rows that repeat a doc_id each get theirs, and a
     null doc_id stays null.
     """
     vocabulary = read_vocabulary(path)
     rows = plain(docs)
+    names = ["doc_id", "ids", "text"][: 2 + decoded]
+    schema = ", ".join(["doc_id bigint", "ids array<int>", "text string"][: 2 + decoded])
     unsplit = (F.length("text") > leaf) & F.exists(F.split("text", "[ \n]"), lambda w: F.length(w) > leaf)
 
     def whole(batches):
@@ -147,7 +175,10 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 ids = encoder.encode_batch(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(ids)], ["doc_id", "ids"])
+                columns = [part.column("doc_id"), _lists(ids)]
+                if decoded:
+                    columns.append(pa.array([encoder.decode(i.tolist()) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     def leaves(batches):
         encoder = Encoder(vocabulary, leaf)
@@ -208,7 +239,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
         .applyInPandas(concatenated, "doc_id bigint, copies bigint, ids array<int>")
         .selectExpr("doc_id", "explode(array_repeat(ids, cast(copies as int))) ids")
     )
-    return rows.filter(~unsplit).mapInArrow(whole, "doc_id bigint, ids array<int>").union(long)
+    return rows.filter(~unsplit).mapInArrow(whole, schema).union(decode(long, path) if decoded else long)
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:

@@ -37,7 +37,7 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{VOCABULARIES}/byte_bpe_50k.json"
-    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
+    coded = bpe.encode(table(spark, folder, "documents"), path, decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
