@@ -64,7 +64,7 @@ class Encoder:
             self.known = {"": b""}
         known = self.known
         new = [w for w in {w for words in split for w in words} if w not in known]
-        short = [w for w in new if len(w) <= self.leaf and w[0] in " \n" and w[-1] not in " \n"]
+        short = [w for w in new if len(w) <= self.leaf and w[0] in " \n" and not w[-1].isspace()]
         for start in range(0, len(short), 2048):
             self.learn(short[start : start + 2048])
         for word in new:

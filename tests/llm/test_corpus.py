@@ -216,18 +216,18 @@ def test_quality_counts(docs, rows, labels):
     assert all(r["kept"] != r["base_failed"] for found in got.values() for r in found)
 
 
-def test_forest_rejects_what_is_unlike_the_good_rows(spark):
-    draw = random.Random(2)
-    rows, marks = [], []
-    for i in range(120):
-        words = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(80)] + ["&"] * draw.randint(0, 2)
-        bad = i % 6 == 0
-        rows.append((i, " ".join(w + "###" * (bad and k % 2) for k, w in enumerate(words))))
-        marks.append((i, int(not bad)))
-    docs, labels = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(marks, "doc_id bigint, quality int")
-    kept = {r["doc_id"] for r in quality.quality_rules(docs, labels).filter("kept").collect()}
-    assert kept == {i for i, good in marks if good}
-    assert {r["doc_id"] for r in quality.keep_good(docs, labels).collect()} == kept
+def test_forest_tells_odd_rows_and_calibrates(spark):
+    draw = np.random.default_rng(3)
+    good = np.abs(draw.normal(0.0, [0.01, 0.02, 0.02, 0.1], size=(900, 4)))
+    bad = good[:60] + [0.3, 0.0, 0.0, 0.4]
+    forest = quality.Forest(good)
+    scores = np.concatenate([forest.score(good), forest.score(bad)])
+    marks = np.arange(len(scores)) < len(good)
+    limit = quality.calibrate(scores, marks, 0.01)
+    assert (scores[marks] > limit).mean() <= 0.01 and (scores[~marks] > limit).mean() > 0.9
+    assert quality.calibrate(np.array([0.9, 0.8, 0.8, 0.1]), np.array([False, True, False, True]), 0.5) == pytest.approx(0.45)
+    assert quality.calibrate(np.array([0.9, 0.8, 0.8, 0.1]), np.array([False, True, False, True]), 0.4) == pytest.approx(0.85)
+    assert quality.calibrate(scores, np.ones(len(scores), dtype=bool), 0.01) == float("inf")
 
 
 def test_path_lengths_match_the_tree():
@@ -261,10 +261,10 @@ def test_bpe_equals_the_library(docs, rows, library, leaf):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.sampled_from(list("aabeth's!.10\t\x1c\xa0é漢😀{}") + ["<|endoftext|>", "ing", "tion"]), max_size=300), st.sampled_from([3, 8, 20]))
-def test_bpe_joins(text, leaf):
+@given(st.lists(st.sampled_from([*"aabeth's!.10 \n\t\x1c\xa0é漢😀{}", "<|endoftext|>", "ing", "tion"]), max_size=200), st.sampled_from([3, 8, 20]))
+def test_bpe_joins(parts, leaf):
+    text = "".join(parts)
     encoder = ENCODERS.setdefault(leaf, bpe.Encoder(bpe.read_vocabulary(BPE), leaf))
-    encoder.known = {}
     assert encoder.encode_batch([text])[0].tolist() == encoder.plain(text).tolist()
 
 
@@ -403,13 +403,16 @@ def test_spans(docs, rows, job):
         assert "random" in added and len([s for s in added.split(",") if s.startswith("random")]) == 1
 
 
-@settings(max_examples=25, deadline=None)
-@given(st.lists(st.text(st.sampled_from(list("a1.@+- 0(4_%é😀\n") + ["token=", "AKIA", "abcdef0123456789"]), max_size=60), min_size=1, max_size=30))
-def test_strict_spans_of_odd_texts(spark, found):
+def test_strict_spans_of_odd_texts(spark):
+    draw = random.Random(6)
+    parts = [*"a1.@+- 0(4_%é😀\n", "token=", "AKIA", "abcdef0123456789", "1.2", "4539148803436467"]
+    found = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 60))) for _ in range(1500)]
     df = spark.createDataFrame(list(enumerate(found)), "doc_id bigint, text string")
-    spans = private.candidates(df)
-    got = {r["doc_id"]: sorted((x["start"], n, x["stop"], k) for n, k in enumerate(private.KINDS) for x in r[f"ok_{k}"]) for r in spans.collect()}
+    kinds = private.KINDS
+    got = {r["doc_id"]: sorted((x["start"], n, x["stop"], k) for n, k in enumerate(kinds) for x in r[f"ok_{k}"]) for r in private.candidates(df).collect()}
     assert got == {i: base_private(t) for i, t in enumerate(found)}
+    digests = {r["doc_id"]: r["base_sha256"] for r in secrets.digest(secrets.secret_spans(df)).collect()}
+    assert digests == {i: hashlib.sha256(shown(base_secret(t)).encode()).hexdigest() for i, t in enumerate(found)}
 
 
 def test_reliabilities_find_the_better_labeler():

@@ -28,7 +28,7 @@ def test_stages(spark, docs, tmp_path):  # noqa: F811
     for r in inputs["quality rules"]:
         n, _, _, _, repeated = slow_statistics(r["text"])
         failed = n < 50 or (repeated is not None and 100 * len(repeated) > 50 * n)
-        if failed:
+        if failed and r["doc_id"] is not None:
             assert r["doc_id"] not in good
     assert len(inputs["exact dedup"]) > 20
     groups: dict = {}
