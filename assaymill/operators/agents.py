@@ -45,13 +45,16 @@ def first_symbols(aliases: DataFrame) -> DataFrame:
     return aliases.groupBy("alias").agg(F.min_by("symbol", F.struct("hit", "symbol")).alias("symbol"))
 
 
-def resolve_agent(df: DataFrame, terms: DataFrame, aliases: DataFrame, keys: list[str], max_n: int = 1) -> DataFrame:
+def resolve_agent(df: DataFrame, terms: DataFrame, aliases: DataFrame, keys: list[str], max_n: int | None = None) -> DataFrame:
     """(keys, pert_agent) for rows of (keys, text, title).
 
     The first protein concept of the text, else of the title, is cleaned and replaced
     by its gene symbol when the alias table knows one. Both texts are searched in one
-    pass; rows without a concept keep a NULL agent.
+    pass; rows without a concept keep a NULL agent. Terms of up to ``max_n`` words are
+    looked for, those as long as the longest of the dictionary if it is not given.
     """
+    if max_n is None:
+        max_n = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
     sources = F.array(
         F.struct(F.lit(0).alias("source"), F.col("text").alias("t")),
         F.struct(F.lit(1).alias("source"), F.col("title").alias("t")),

@@ -44,15 +44,18 @@ def cross_clusters(control: DataFrame, perturbed: DataFrame, per_task: int = 200
     return left.drop("salts").join(right.drop("salts"), ["gse", "salt"]).drop("salt")
 
 
-def gather_candidates(candidates: DataFrame) -> DataFrame:
-    """What the choice among a control group's candidates needs, folded without lists."""
+def gather_candidates(control: DataFrame, perturbed: DataFrame) -> DataFrame:
+    """What the choice among a control group's candidates needs, summed up per series before the control groups get it."""
     time = time_value(F.col("pert_text"))
-    return candidates.groupBy("gse", "ctrl_cluster", "ctrl_text").agg(
+    series = perturbed.groupBy("gse").agg(
         F.count(F.lit(1)).alias("n_pert"),
         F.min("pert_cluster").alias("first_pert"),
         F.bool_or(time.isNotNull()).alias("any_time"),
         F.max(time).alias("max_time"),
     )
+    return control.join(series, "gse").select(
+        "gse", "ctrl_cluster", "ctrl_text", "n_pert", "first_pert", "any_time", "max_time"
+    )
 
 
 def best_match(control: DataFrame, perturbed: DataFrame) -> DataFrame:

@@ -14,7 +14,12 @@ ARRAY_TECHNOLOGIES = [
     "mixed spotted oligonucleotide/cDNA",
 ]
 SEQUENCING = "high-throughput sequencing"
-PAIR_KEY = ["gse_id", "ctrl_gsm_ids"]
+PAIR_KEY = ["gse_id", "ctrl_gsm_ids", "pert_gsm_ids"]
+
+
+def pair_id() -> Column:
+    """A pair's identity: its series and both id lists, where a missing list is a blank one."""
+    return F.md5(F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in PAIR_KEY]))
 
 
 def route(technology: Column, in_matrix: Column) -> Column:
@@ -38,15 +43,17 @@ def sequencing_grouping(ctrl: Column, pert: Column) -> Column:
 
 
 def pair_samples(pairs: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per sample of a pair: its key, ``columns``, order, sample and group."""
+    """One row per sample of a pair: its ``pair`` id, ``columns``, order, sample and group.
+
+    A missing id list gives no rows; results that go back to the pairs are left-joined.
+    """
     sides = F.array(
         F.struct(F.lit("0").alias("grp"), split_ids("ctrl_gsm_ids").alias("ids")),
         F.struct(F.lit("1").alias("grp"), split_ids("pert_gsm_ids").alias("ids")),
     )
-    keep = PAIR_KEY + [c for c in columns if c not in PAIR_KEY]
     return (
-        pairs.select(*keep, F.explode(sides).alias("s"))
-        .select(*keep, F.col("s.grp").alias("grp"), F.posexplode("s.ids").alias("pos", "sample"))
+        pairs.select(pair_id().alias("pair"), *columns, F.explode(sides).alias("s"))
+        .select("pair", *columns, F.col("s.grp").alias("grp"), F.posexplode("s.ids").alias("pos", "sample"))
     )
 
 
@@ -59,10 +66,16 @@ def all_present(pairs: DataFrame, matrix: DataFrame) -> DataFrame:
     wanted = pair_samples(pairs, ["organism"]).withColumn("held", matrix_organism(F.col("organism")))
     found = (
         wanted.join(known.withColumn("found", F.lit(True)), ["sample", "held"], "left")
-        .groupBy(*PAIR_KEY)
+        .groupBy("pair")
         .agg(F.bool_and(F.coalesce("found", F.lit(False))).alias("in_matrix"))
     )
-    return pairs.join(found, PAIR_KEY)
+    return with_result(pairs, found).withColumn("in_matrix", F.coalesce("in_matrix", F.lit(False)))
+
+
+def with_result(pairs: DataFrame, result: DataFrame) -> DataFrame:
+    """``pairs``, all of them, with the columns of ``result`` by ``pair`` id."""
+    named = result.withColumnRenamed("pair", "_pair")
+    return pairs.withColumn("_key", pair_id()).join(named, F.col("_key") == F.col("_pair"), "left").drop("_key", "_pair")
 
 
 def runs_of(pairs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -70,11 +83,11 @@ def runs_of(pairs: DataFrame, runs: DataFrame) -> DataFrame:
     listed = (
         pair_samples(pairs, [])
         .join(runs, "sample", "left")
-        .groupBy(*PAIR_KEY)
+        .groupBy("pair")
         .agg(F.array_sort(F.collect_list(F.when(F.col("run").isNotNull(), F.struct("grp", "pos", "run")))).alias("r"))
     )
-    ids = listed.select(*PAIR_KEY, F.array_join(F.transform("r", lambda x: x["run"]), "|").alias("sra_ids"))
-    return pairs.join(ids, PAIR_KEY)
+    ids = listed.select("pair", F.array_join(F.transform("r", lambda x: x["run"]), "|").alias("sra_ids"))
+    return with_result(pairs, ids).withColumn("sra_ids", F.coalesce("sra_ids", F.lit("")))
 
 
 def union_routes(*frames: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from assaymill.operators import diffexp
 from assaymill.operators.agents import filter_agent, filter_flags
 from assaymill.operators.lookups import platform_of, split_ids
 from assaymill.operators.routing import (
-    PAIR_KEY, all_present, pair_samples, route, runs_of, sequencing_grouping,
+    all_present, pair_id, pair_samples, route, runs_of, sequencing_grouping,
 )
 from assaymill.session import cut
 from assaymill.sources.catalog import Catalog
@@ -16,10 +16,6 @@ from assaymill.sources.catalog import Catalog
 NOTES = ["gse_id", "pert_agent", "organism", "direction"]
 
 
-def pair_id() -> Column:
-    return F.md5(F.concat_ws(";", *PAIR_KEY)).alias("pair")
-
-
 def failing(pairs: DataFrame) -> Column:
     """Why a pair cannot be tested, NULL when it can."""
     n_ctrl, n_pert = F.size(split_ids("ctrl_gsm_ids")), F.size(split_ids("pert_gsm_ids"))
@@ -46,7 +42,7 @@ def annotate(genes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def sequencing_genes(pairs: DataFrame, matrix: DataFrame, mode: str) -> DataFrame:
-    groups = pair_samples(pairs, ["pair"]).select("pair", "sample", "grp")
+    groups = pair_samples(pairs, []).select("pair", "sample", "grp")
     values = diffexp.select_groups(
         matrix.select("gene", "sample", F.col("count").alias("value")), groups, ["sample"]
     )
@@ -61,16 +57,22 @@ def sequencing_genes(pairs: DataFrame, matrix: DataFrame, mode: str) -> DataFram
 
 
 def array_genes(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """``arrays`` holds (probe, sample, value, symbol). Pairs without array values give no rows."""
-    groups = pair_samples(pairs, ["pair"]).select("pair", "sample", "grp")
+    """``arrays`` holds (probe, sample, value, symbol). Pairs without array values give no rows.
+
+    A probe's symbol is the one its own samples carry, as platforms share probe ids.
+    """
+    groups = pair_samples(pairs, []).select("pair", "sample", "grp")
     values = diffexp.select_groups(
         arrays.select(F.col("probe").alias("gene"), "sample", F.col("value").cast("double").alias("value")), groups,
         ["sample"],
     )
     fit = diffexp.contrast(diffexp.fit_two_groups(diffexp.auto_log2(cut(values))))
-    symbols = arrays.groupBy("probe").agg(F.min("symbol").alias("symbol"))
+    symbols = (
+        arrays.select("probe", "sample", "symbol").join(groups.select("pair", "sample"), "sample")
+        .groupBy("pair", "probe").agg(F.min("symbol").alias("symbol"))
+    )
     tested = (
-        diffexp.moderated_t(fit).withColumnRenamed("gene", "probe").join(symbols, "probe")
+        diffexp.moderated_t(fit).withColumnRenamed("gene", "probe").join(symbols, ["pair", "probe"])
         .withColumn("gene", F.col("probe"))
     )
     table = annotate(diffexp.gene_table(tested, "array"), pairs)

@@ -48,8 +48,12 @@ def classify(
     organism: str | None = None,
     and_keywords: list[str] = [],
     or_keywords: list[str] = [],
+    max_n: int | None = None,
 ) -> DataFrame:
-    """Classified pairs of the series in ``ids`` (all without), one row per control cluster."""
+    """Classified pairs of the series in ``ids`` (all without), one row per control cluster.
+
+    Agents are dictionary terms of up to ``max_n`` words, of any length if not given.
+    """
     if ids is not None:
         wanted = ids.select("gse").distinct()
         catalog = Catalog(
@@ -76,6 +80,6 @@ def classify(
         .join(titled, "gse")
         .select("gse", "pert_cluster", F.col("pert_text").alias("text"), "title")
     )
-    agents = resolve_agent(texts, terms, aliases, ["gse", "pert_cluster"])
+    agents = resolve_agent(texts, terms, aliases, ["gse", "pert_cluster"], max_n)
     pairs = grouping_string(clustered, matches).join(agents, ["gse", "pert_cluster"])
     return finish_pairs(attach_verdict(pairs, verdicts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from assaymill.operators import models
 from assaymill.operators.features import chi2_slicer, fit_features, hashed_features
@@ -27,14 +27,21 @@ def build_training_sets(
 
 def benchmark(
     dataset: DataFrame,
-    key: str,
+    key: str | None = None,
     chosen: dict[str, Callable] | None = None,
     chi2_k: int | None = None,
     hash_buckets: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """Scores and times of the classifiers on the seeded 80/20 split of (key, text, label)."""
-    train, test = exact_split(cut(dataset), key, 0.8, seed)
+    """Scores and times of the classifiers on the seeded 80/20 split of (key, text, label).
+
+    Labels that are text become class numbers by their order. Rows without a key get one.
+    """
+    dataset = cut(dataset if key else dataset.withColumn("_row", F.monotonically_increasing_id()))
+    key = key or "_row"
+    if dict(dataset.dtypes)["label"] == "string":
+        dataset = models.index_labels(dataset).transform(dataset).drop("label").withColumnRenamed("label_no", "label")
+    train, test = exact_split(dataset, key, 0.8, seed)
     ready = hashed_features(n=hash_buckets) if hash_buckets else fit_features(train, max_df=0.5, sublinear=True)
     column = "features"
     if chi2_k and not hash_buckets:

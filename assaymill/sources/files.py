@@ -36,9 +36,9 @@ def scan_id_list(spark: SparkSession, path: str, partitions: int) -> DataFrame:
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """Classified pairs by column name; a blank line gives no row, a missing agent is blank."""
-    pairs = spark.read.csv(path, schema=PAIR_SCHEMA, header=True).filter("gse_id is not null")
-    return pairs.fillna("", ["pert_agent"])
+    """Classified pairs by column name; a blank line gives no row, a missing agent or id list is blank."""
+    pairs = spark.read.csv(path, schema=PAIR_SCHEMA, **(CSV | {"multiLine": False})).filter("gse_id is not null")
+    return pairs.fillna("", ["pert_agent", "ctrl_gsm_ids", "pert_gsm_ids"])
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
@@ -109,10 +109,10 @@ def read_metrics(spark: SparkSession, path: str, keep: list[str] = METRICS) -> D
     )
 
 
-def read_concept_hits(spark: SparkSession, path: str) -> DataFrame:
-    """Concept hits of a terminology matcher; ``position`` keeps the file order."""
-    hits = spark.read.csv(path, schema=HIT_SCHEMA, sep="\t")
-    return hits.withColumn("position", F.col("position").cast("bigint")).filter("concept is not null")
+def read_concept_hits(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """Concept hits of a terminology matcher; ``position`` keeps the file order, and is NULL where it is no number."""
+    hits = spark.read.csv(path, schema=HIT_SCHEMA, sep="\t", header=header, enforceSchema=True)
+    return hits.withColumn("position", F.expr("try_cast(position as bigint)")).filter("concept is not null")
 
 
 def read_matrix(spark: SparkSession, path: str, organism: str | None = None) -> DataFrame:

@@ -107,7 +107,7 @@ def cluster_cross(t: Tables):
            bool_or({TIME_SQL.format(c='pert_text')} is not null) any_time, max({TIME_SQL.format(c='pert_text')}) max_time
     from pairs group by all""")
 def candidate_gather(t: Tables):
-    return ops.gather_candidates(ops.cross_clusters(*ops.cluster_groups(t.grouped)))
+    return ops.gather_candidates(*ops.cluster_groups(t.grouped))
 
 
 @query("best_match", "with " + GROUPS_SQL.format(source="px_grouped") + "," + BEST_SQL + """

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from assaymill.operators import lookups, routing as ops
 from assaymill.plans.analyse import analyse, route_pairs
-from assaymill.session import scratch_folder
+from assaymill.session import cut, scratch_folder
 from assaymill.sources import sinks
 from contract.catalog import catalog_of
 from contract.registry import query
@@ -64,7 +66,7 @@ def run_lookup(t: Tables):
 
 
 def route_frames(t: Tables) -> dict:
-    pairs = routed(t).cache()
+    pairs = cut(routed(t))
     falco = ops.runs_of(pairs.filter("route = 'falco'"), t.runs).withColumn(
         "grouping", ops.sequencing_grouping("ctrl_gsm_ids", "pert_gsm_ids"))
     return {
@@ -98,21 +100,26 @@ def routed_sink(t: Tables):
     frames = route_frames(t)
     sinks.write_routes(frames, path)
     back = [
-        t.spark.read.csv(f"{path}/{name}", header=True, schema=df.schema).withColumn("route", F.lit(name))
+        t.spark.read.csv(f"{path}/{name}", schema=df.schema, **sinks.QUOTED).withColumn("route", F.lit(name))
         for name, df in frames.items()
     ]
     return ops.union_routes(*back)
 
 
 def with_faulty(t: Tables):
-    """The pairs, and as many again whose perturbed list was lost."""
-    faulty = t.pairs.withColumn("pert_gsm_ids", F.lit("")).withColumn("gse_id", F.concat(F.col("gse_id"), F.lit("E")))
-    return t.pairs.unionByName(faulty)
+    """The pairs, and as many again whose perturbed list is blank, is missing, or whose control list is missing."""
+    missing = F.lit(None).cast("string")
+    faulty = [
+        t.pairs.withColumn(column, value).withColumn("gse_id", F.concat(F.col("gse_id"), F.lit(mark)))
+        for column, value, mark in (("pert_gsm_ids", F.lit(""), "E"), ("pert_gsm_ids", missing, "N"), ("ctrl_gsm_ids", missing, "C"))
+    ]
+    return reduce(lambda a, b: a.unionByName(b), [t.pairs, *faulty])
 
 
 @query("route_annotate", "with " + ROUTED_SQL + """
     select gse_id, pert_agent, organism, direction, route, cast(null as varchar) command from routed
-    union all select gse_id || 'E', pert_agent, organism, direction, 'error', 'no perturbed sample' from routed""")
+    union all select gse_id || unnest(['E', 'N']), pert_agent, organism, direction, 'error', 'no perturbed sample' from routed
+    union all select gse_id || 'C', pert_agent, null, direction, 'error', 'no platform for the first control sample' from routed""")
 def route_annotate(t: Tables):
     routed_pairs = route_pairs(with_faulty(t), catalog_of(t), matrix_with_organism(t))
     return routed_pairs.select("gse_id", "pert_agent", "organism", "direction", "route", "command")

@@ -137,10 +137,8 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        """The documents, dealt out over the cores when the file is too small to be split over them."""
-        rows = self.table("documents")
-        few = rows.rdd.getNumPartitions() < self.spark.sparkContext.defaultParallelism
-        return rows.repartition("doc_id") if few else rows
+        """The documents, dealt out by id, as a file may hold very long ones side by side."""
+        return self.table("documents").repartition("doc_id")
 
     @cached_property
     def series(self) -> DataFrame:
