@@ -119,15 +119,14 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     strict = ", ".join(f"ok_{k}" for k in KINDS)
     # A token of digits and marks only is a number or a line, whatever its pairs say.
     clear = f"filter(tokens, x -> rlike(x.value, '[A-Za-z]') and not exists(concat({strict}), y -> y.start < x.stop and x.start < y.stop))"
-    found = written(df.select("doc_id", *[f"ok_{k}" for k in KINDS], F.expr(clear).alias("tokens")), "tokens")
+    found = written(df.select("doc_id", *[f"ok_{k}" for k in KINDS], F.expr(clear).alias("tokens")).withColumn("row", F.monotonically_increasing_id()), "tokens")
     ratios, limit = train(written(samples(docs), "sample"))
     if limit == math.inf:
         return found.select("doc_id", *[f"ok_{k}" for k in KINDS], F.expr("filter(tokens, x -> false)").alias("added"))
     # Judged as rows, so that the table of ratios is looked up by compiled code.
-    rows = found.withColumn("row", F.monotonically_increasing_id())
-    judged = rows.select("row", F.explode("tokens").alias("x")).filter(mean_ratio("x.value", ratios) > limit)
+    judged = found.select("row", F.explode("tokens").alias("x")).filter(mean_ratio("x.value", ratios) > limit)
     added = judged.groupBy("row").agg(F.collect_list("x").alias("more"))
-    return rows.join(added, "row", "left").select(
+    return found.join(added, "row", "left").select(
         "doc_id", *[f"ok_{k}" for k in KINDS], F.coalesce("more", F.expr("filter(tokens, x -> false)")).alias("added")
     )
 
