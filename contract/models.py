@@ -26,6 +26,31 @@ TFIDF_SQL = f"""{WORDS_SQL},
     df as (select token, count(*) df from tf group by token having count(*) <= (select count(*) from ws) * 0.5),
     wt as (select doc_id, token, (1 + ln(tf)) * (ln((1.0 + (select count(*) from ws)) / (1 + df)) + 1) w from tf join df using (token)),
     tfidf as (select doc_id, token, w / sqrt(sum(w * w) over (partition by doc_id)) weight from wt)"""
+# Multinomial naive Bayes with add-one smoothing over unit tf-idf vectors, and its class for each row of a source.
+BAYES_SQL = f"""{WORDS_SQL},
+    b_tf as (select doc_id, token, count(*) tf from (select doc_id, unnest(w) token from ws) group by all),
+    b_df as (select token, count(*) df from b_tf group by token having count(*) <= (select count(*) from ws) * 0.5),
+    b_idf as (select token, ln((1.0 + (select count(*) from ws)) / (1 + df)) + 1 idf from b_df),
+    b_w as (select doc_id, token, tf * idf w from b_tf join b_idf using (token)),
+    b_n as (select doc_id, token, w / sqrt(sum(w * w) over (partition by doc_id)) w from b_w),
+    b_s as (select quality c, token, sum(b_n.w) s from b_n join ws using (doc_id) group by all),
+    b_t as (select c, sum(s) t from b_s group by c),
+    theta as (select c, token, ln((coalesce(s, 0) + 1) / (t + (select count(*) from b_idf))) th
+              from b_idf cross join b_t left join b_s using (c, token)),
+    prior as (select quality c, ln((count(*) + 1.0) / ((select count(*) from ws) + 2)) p from ws group by quality)"""
+
+
+def bayes_sql(name: str, source: str) -> str:
+    """``name`` (k, c): the class of each row (k, text) of ``source``."""
+    return rf"""
+    {name}_w as (select k, unnest(list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}'),
+                     lambda w: not list_contains({STOP_SQL}, w))) token from ({source})),
+    {name}_v as (select k, token, count(*) * any_value(idf) w from {name}_w join b_idf using (token) group by all),
+    {name}_n as (select k, token, w / sqrt(sum(w * w) over (partition by k)) w from {name}_v),
+    {name}_s as (select k, c, sum(w * th) s from {name}_n join theta using (token) group by all),
+    {name} as (select k, arg_max(c, p + coalesce(s, 0)) c from ({source}) cross join prior left join {name}_s using (k, c) group by k)"""
+
+
 CLASSIFIERS = [f"clf{i}" for i in range(5)]
 BOARD = ", ".join(f"round(max(f1_scores) filter (where clf = '{c}'), 6) + 0.0 {c}" for c in CLASSIFIERS)
 
@@ -125,7 +150,8 @@ def text_model(train) -> PipelineModel:
     return PipelineModel([*fitted.stages, model])
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", f"with {BAYES_SQL}," + bayes_sql("own", "select doc_id k, text from px_labelled") + """
+    select k doc_id, cast(c as double) "before", cast(c as double) "after" from own""")
 def model_roundtrip(t: Tables):
     path = scratch_folder(t.spark, "model")
     rows = cut(labelled(t))
@@ -136,7 +162,8 @@ def model_roundtrip(t: Tables):
     return before.join(after, "doc_id").select("doc_id", "before", "after")
 
 
-@query("predict_types")
+@query("predict_types", f"with {BAYES_SQL}," + bayes_sql("own", "select gsm k, title as text from px_sample") + """
+    select k gsm, case c when 1 then 'pert' else 'ctrl' end as type from own""")
 def predict_types(t: Tables):
     model = text_model(cut(labelled(t)))
     samples = t.samples.select("gsm", F.col("title").alias("text"))
@@ -144,7 +171,9 @@ def predict_types(t: Tables):
     return models.predict(samples, model).select("gsm", named.alias("type"))
 
 
-@query("verdict_flags")
+@query("verdict_flags", f"with {BAYES_SQL}," + bayes_sql("t", "select gse k, title as text from px_series") + ","
+       + bayes_sql("s", "select gse k, summary as text from px_series") + """
+    select t.k gse, t.c = 1 is_pert_title, s.c = 1 is_pert_summary from t join s using (k)""")
 def verdict_flags(t: Tables):
     rows = cut(labelled(t))
     model = text_model(rows)
