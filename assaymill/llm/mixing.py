@@ -2,8 +2,8 @@
 
 A classifier fitted on a labelled table gives each document a probability per domain.
 Nonnegative document rates are then fitted so that the expected tokens of each domain,
-sum of rate * tokens * probability, come to the targets: projected gradient steps on the
-least squares, each one sum over all documents.
+sum of rate * tokens * probability, come to the targets: projected, scaled gradient steps
+on the least squares, each one sum over all documents.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from assaymill.llm.common import plain, written
 DOMAINS = ["good", "poor", "toxic"]
 #: Hashed words of the classifier and labelled rows it is fitted on.
 WIDTH, LABELLED = 1 << 15, 8000
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
 
 
 def words(text: str) -> Column:
@@ -52,7 +52,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
     if sample.isEmpty():
         return None
     # Rows of every domain with no feature keep the number of classes.
-    return LogisticRegression(maxIter=60, regParam=0.002, family="multinomial", standardization=False).fit(sample)
+    return LogisticRegression(maxIter=60, regParam=0.0001, family="multinomial", standardization=False).fit(sample)
 
 
 def posteriors(docs: DataFrame, model: LogisticRegressionModel | None) -> DataFrame:
@@ -84,29 +84,36 @@ def dot(a: Column, b: Column) -> Column:
     return total
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], rounds: int = 100) -> list[list[float]]:
+def fit_rates(members: DataFrame, targets: dict[str, float], rounds: int = 40) -> list[list[float]]:
     """Steps of ``rate`` that bring the expected domain tokens to ``targets``.
 
-    The squared misses are measured by the inverse of sum of tokens * p p', whose steps have length one.
-    Stops when no expected total is off by more than ``TOLERANCE`` of all tokens, when
-    misses no longer shrink (targets out of reach), or after ``rounds``.
+    A step is the gradient of the squared misses, measured by the inverse of the sum of
+    tokens * p p' over the documents whose rates are still above zero: on those alone it
+    would meet the targets at once. Each round is one sum over all documents. Stops when
+    no expected total is off by more than ``TOLERANCE`` of all tokens, when the misses no
+    longer shrink (targets out of reach; the last step is then left out), or after ``rounds``.
     """
     k = len(DOMAINS)
-    products = [F.sum(F.col("n_tokens") * F.get("p", i) * F.get("p", j)) for i in range(k) for j in range(k)]
-    gram = np.array([x or 0.0 for x in members.agg(*products).first()], dtype=np.float64).reshape(k, k)
-    inverse = np.linalg.pinv(gram, rcond=1e-9)
     goal = np.array([targets[d] for d in DOMAINS], dtype=np.float64)
-    scale = max(float(gram.sum()), 1.0)
     steps: list[list[float]] = []
     last = np.inf
-    for _ in range(rounds):
-        sums = members.agg(*[F.sum(F.col("n_tokens") * F.get("p", i) * rate(steps)) for i in range(k)]).first()
-        miss = goal - np.array([x or 0.0 for x in sums])
-        worth = float(miss @ inverse @ miss)
-        if np.abs(miss).max() <= TOLERANCE * scale or worth > last * (1 - 1e-4):
+    for _ in range(rounds + 1):
+        rated = members.select("n_tokens", "p", rate(steps).alias("r"))
+        tokens = F.col("n_tokens").cast("double")
+        now = [F.sum(tokens * F.get("p", i) * F.col("r")) for i in range(k)]
+        open_ = F.when(F.col("r") > 0, tokens).otherwise(0.0)
+        products = [F.sum(open_ * F.get("p", i) * F.get("p", j)) for i in range(k) for j in range(k)]
+        found = np.array([x or 0.0 for x in rated.agg(F.sum(tokens), *now, *products).first()], dtype=np.float64)
+        miss = goal - found[1 : k + 1]
+        off = float(np.abs(miss).max())
+        if off <= TOLERANCE * max(found[0], 1.0):
             break
-        last = worth
-        steps.append([float(x) for x in inverse @ miss])
+        if off > last * 0.999 or len(steps) == rounds:
+            if off > last:
+                steps.pop()
+            break
+        last = off
+        steps.append([float(x) for x in np.linalg.pinv(found[k + 1 :].reshape(k, k), rcond=1e-9) @ miss])
     return steps
 
 

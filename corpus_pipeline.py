@@ -16,7 +16,7 @@ from assaymill.llm.common import written
 from assaymill.llm.queries import VOCABULARIES, table
 
 #: The part of each domain's tokens that the mixing stage keeps.
-KEEP = {"good": 1.0, "poor": 0.5, "toxic": 0.02}
+KEEP = {"good": 1.0, "poor": 0.5, "toxic": 0.05}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
