@@ -283,12 +283,10 @@ def contrast_priors(df: DataFrame, proportion: float, low: float = 0.1, high: fl
                                     F.median("s2_prior").alias("s2_prior"))
     size = F.ceil(F.lit(proportion / 2) * F.col("n"))
     on_top_df = t_for_two_sided_of(F.greatest(F.col("p_value"), F.lit(1e-300)), F.col("top_df").cast("double"))
-    even = F.when(F.col("df_total") >= F.col("top_df"), F.abs("t")).otherwise(on_top_df)
-    values = (
-        df.select("pair", "gene", "t", "p_value", "unscaled", "df_total")
-        .join(counts, "pair")
-        .withColumn("t_even", even)
-    )
+    values = df.select("pair", "gene", "t", "p_value", "unscaled", "df_total").join(counts, "pair")
+    # Only genes with fewer degrees of freedom than the pair's most need the inverse, which is costly.
+    even = values.filter(F.col("df_total") >= F.col("top_df")).withColumn("t_even", F.abs("t"))
+    values = even.unionByName(values.filter(F.col("df_total") < F.col("top_df")).withColumn("t_even", on_top_df))
     leading = (
         numbered(values, ["pair"], [F.desc("t_even"), F.col("gene")], total="_n")
         .filter(F.col("rn") <= size)

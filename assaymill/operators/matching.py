@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from assaymill.functions.similarity import jaro_winkler
 from assaymill.functions.text import time_value
@@ -97,29 +97,33 @@ def best_match(control: DataFrame, perturbed: DataFrame) -> DataFrame:
 def grouping_string(clustered: DataFrame, matches: DataFrame) -> DataFrame:
     """Per match the sample ids of both sides and a code per sample of the series.
 
-    ``0`` is control, ``1`` perturbed, ``X`` unused, in order of sample id. The strings
-    are joined in chunks of positions first, so a long series is not sorted in one task.
+    ``0`` is control, ``1`` perturbed, ``X`` unused, in order of sample id. Samples are
+    gathered in chunks of positions before they meet the matches, so a long series is not
+    sorted in one task and a match costs a row per chunk, not per sample.
     """
-    control = (F.col("type") == "ctrl") & (F.col("cluster") == F.col("ctrl_cluster"))
-    perturbed = ~F.col("type").eqNullSafe("ctrl") & (F.col("cluster") == F.col("pert_cluster"))
-    code = F.when(control, "0").when(perturbed, "1").otherwise("X")
-    rows = sample_position(clustered.select("gse", "gsm", "type", "cluster")).join(matches, "gse")
-    rows = rows.select(
-        "gse", "ctrl_cluster", "pert_cluster", F.floor(F.col("position") / CHUNK).alias("chunk"), "position",
-        code.alias("code"), F.col("gsm").cast("string").alias("gsm"),
+    placed = sample_position(clustered.select("gse", "gsm", "type", "cluster")).select(
+        "gse", F.floor(F.col("position") / CHUNK).alias("chunk"), "position", F.col("gsm").cast("string").alias("gsm"),
+        F.col("type").eqNullSafe("ctrl").alias("control"), "cluster",
+    )
+    gathered = placed.groupBy("gse", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("position", "gsm", "control", "cluster"))).alias("rows")
     )
 
-    def ids(wanted: str):
-        return F.array_join(F.transform(F.filter("rows", lambda r: r["code"] == wanted), lambda r: r["gsm"]), "|")
+    def is_control(r: Column) -> Column:
+        return r["control"] & (r["cluster"] == F.col("ctrl_cluster"))
 
-    chunks = (
-        rows.groupBy("gse", "ctrl_cluster", "pert_cluster", "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("position", "code", "gsm"))).alias("rows"))
-        .select(
-            "gse", "ctrl_cluster", "pert_cluster", "chunk",
-            F.array_join(F.transform("rows", lambda r: r["code"]), "").alias("codes"),
-            F.nullif(ids("0"), F.lit("")).alias("ctrl"), F.nullif(ids("1"), F.lit("")).alias("pert"),
-        )
+    def is_perturbed(r: Column) -> Column:
+        return ~r["control"] & (r["cluster"] == F.col("pert_cluster"))
+
+    def ids(wanted) -> Column:
+        return F.nullif(F.array_join(F.transform(F.filter("rows", wanted), lambda r: r["gsm"]), "|"), F.lit(""))
+
+    def code(r: Column) -> Column:
+        return F.when(is_control(r), "0").when(is_perturbed(r), "1").otherwise("X")
+
+    chunks = gathered.join(matches.select("gse", "ctrl_cluster", "pert_cluster"), "gse").select(
+        "gse", "ctrl_cluster", "pert_cluster", "chunk", F.array_join(F.transform("rows", code), "").alias("codes"),
+        ids(is_control).alias("ctrl"), ids(is_perturbed).alias("pert"),
     )
     joined = chunks.groupBy("gse", "ctrl_cluster", "pert_cluster").agg(
         F.array_sort(F.collect_list(F.struct("chunk", "codes", "ctrl", "pert"))).alias("c")

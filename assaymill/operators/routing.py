@@ -45,14 +45,16 @@ def sequencing_grouping(ctrl: Column, pert: Column) -> Column:
 def pair_samples(pairs: DataFrame, columns: list[str]) -> DataFrame:
     """One row per sample of a pair: its ``pair`` id, ``columns``, order, sample and group.
 
-    A missing id list gives no rows; results that go back to the pairs are left-joined.
+    Rows with one pair id give their samples once. A missing or blank id list gives no rows, so
+    results that go back to the pairs are left-joined.
     """
     sides = F.array(
-        F.struct(F.lit("0").alias("grp"), split_ids("ctrl_gsm_ids").alias("ids")),
-        F.struct(F.lit("1").alias("grp"), split_ids("pert_gsm_ids").alias("ids")),
+        F.struct(F.lit("0").alias("grp"), F.when(F.col("ctrl_gsm_ids") != "", split_ids("ctrl_gsm_ids")).alias("ids")),
+        F.struct(F.lit("1").alias("grp"), F.when(F.col("pert_gsm_ids") != "", split_ids("pert_gsm_ids")).alias("ids")),
     )
     return (
-        pairs.select(pair_id().alias("pair"), *columns, F.explode(sides).alias("s"))
+        pairs.select(pair_id().alias("pair"), *columns, "ctrl_gsm_ids", "pert_gsm_ids").dropDuplicates(["pair"])
+        .select("pair", *columns, F.explode(sides).alias("s"))
         .select("pair", *columns, F.col("s.grp").alias("grp"), F.posexplode("s.ids").alias("pos", "sample"))
     )
 
