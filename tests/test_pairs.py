@@ -45,8 +45,8 @@ def test_every_pair_gets_one_route(spark, catalog, pairs):
     got = {r["pert_agent"]: (r["route"], r["command"], r["in_matrix"]) for r in route_pairs(pairs, catalog, matrix).collect()}
     assert got == {
         "a": ("rna_seq", None, True), "b": ("falco", None, False),
-        "c": ("error", "no platform for the first control sample", True), "d": ("error", "no perturbed sample", True),
-        "e": ("error", "no platform for the first control sample", True), "f": ("error", "no perturbed sample", True),
+        "c": ("error", "no platform for the first control sample", False), "d": ("error", "no perturbed sample", True),
+        "e": ("error", "no platform for the first control sample", False), "f": ("error", "no perturbed sample", True),
     }
 
 
