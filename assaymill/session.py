@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths that ``scratch_folder`` has given out.
+_made: list[str] = []
+
+
 def build_session(app: str = "assaymill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
 
@@ -40,8 +44,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch root."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the scratch root, until ``clear_scratch``."""
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the folders made so far, once no frame that reads them is needed any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
