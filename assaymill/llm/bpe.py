@@ -23,8 +23,10 @@ from assaymill.llm.common import plain
 LEAF = 16384
 #: Tokens on either side of a window that must come out as before.
 AGREE = 4
+#: Rows worked on at once.
+ROWS = 256
 #: Words an encoder remembers before it starts anew.
-KNOWN = 300_000
+KNOWN = 100_000
 
 _SPLIT = re.compile(r"(?<=\S)(?=[ \n])")
 
@@ -170,10 +172,11 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, decoded: bool = False)
     unsplit = (F.length("text") > leaf) & F.exists(F.split("text", "[ \n]"), lambda w: F.length(w) > leaf)
 
     def whole(batches):
-        encoder = Encoder(vocabulary, leaf)
+        encoder = None
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, ROWS):
+                encoder = encoder or Encoder(vocabulary, leaf)
+                part = batch.slice(start, ROWS)
                 ids = encoder.encode_batch(part.column("text").to_pylist())
                 columns = [part.column("doc_id"), _lists(ids)]
                 if decoded:
@@ -181,8 +184,9 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, decoded: bool = False)
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     def leaves(batches):
-        encoder = Encoder(vocabulary, leaf)
+        encoder = None
         for batch in batches:
+            encoder = encoder or Encoder(vocabulary, leaf)
             for doc_id, digest, copies, text in zip(*(batch.column(c).to_pylist() for c in ["doc_id", "digest", "copies", "text"])):
                 out = []
                 for stretch, word in enumerate(_SPLIT.split(text)):
@@ -207,8 +211,9 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, decoded: bool = False)
                 )
 
     def encode_leaves(batches):
-        encoder = Encoder(vocabulary, leaf)
+        encoder = None
         for batch in batches:
+            encoder = encoder or Encoder(vocabulary, leaf)
             ids = encoder.encode_batch(batch.column("text").to_pylist())
             columns = [batch.column(c) for c in ["doc_id", "digest", "copies", "place", "stretch"]]
             yield pa.RecordBatch.from_arrays([*columns, _lists(ids)], ["doc_id", "digest", "copies", "place", "stretch", "ids"])
@@ -247,10 +252,11 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     vocabulary = read_vocabulary(path)
 
     def run(batches):
-        encoder = Encoder(vocabulary)
+        encoder = None
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, ROWS):
+                encoder = encoder or Encoder(vocabulary)
+                part = batch.slice(start, ROWS)
                 lists = part.column("ids")
                 texts = [encoder.decode(ids.values.to_numpy(zero_copy_only=False).tolist()) for ids in lists]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])

@@ -1,8 +1,8 @@
-"""What several operators share: input columns, written tables, word patterns."""
+"""What several operators share: input columns and written tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from assaymill.session import scratch_folder
 
@@ -23,12 +23,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def partitions(df: DataFrame) -> int:
-    """Partitions for a hash exchange of about the size of ``df``'s own input."""
-    return max(df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def spans_digest(kinds: Column) -> Column:
-    return F.sha2(kinds, 256)

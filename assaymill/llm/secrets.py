@@ -40,8 +40,9 @@ SPARE = 0.0005
 
 def pairs(text: str) -> str:
     """SQL for the numbers, from 0, of the character pairs of ``text`` over ``ALPHABET``."""
-    place = f"instr('{ALPHABET}', substr({text}, %s, 1)) - 1"
-    return f"transform(sequence(1, length({text}) - 1), i -> ({place % 'i'}) * {len(ALPHABET)} + {place % '(i + 1)'})"
+    chars, most = f"split({text}, '')", f"length({text}) - 1"
+    number = f"(instr('{ALPHABET}', a) - 1) * {len(ALPHABET)} + instr('{ALPHABET}', b) - 1"
+    return f"zip_with(slice({chars}, 1, {most}), slice({chars}, 2, {most}), (a, b) -> {number})"
 
 
 def samples(docs: DataFrame, labelled: int = LABELLED) -> DataFrame:

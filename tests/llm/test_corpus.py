@@ -408,6 +408,7 @@ def test_strict_spans_of_odd_texts(spark):
     draw = random.Random(6)
     parts = [*"a1.@+- 0(4_%é😀\n", "token=", "AKIA", "abcdef0123456789", "1.2", "4539148803436467"]
     found = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 60))) for _ in range(1500)]
+    found += ["a@b.cd, " * 1500, "é 1.2.3.4 +1 555 010 9999 x" * 700]
     df = spark.createDataFrame(list(enumerate(found)), "doc_id bigint, text string")
     kinds = private.KINDS
     got = {r["doc_id"]: sorted((x["start"], n, x["stop"], k) for n, k in enumerate(kinds) for x in r[f"ok_{k}"]) for r in private.candidates(df).collect()}
