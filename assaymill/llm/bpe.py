@@ -25,7 +25,7 @@ LEAF = 16384
 AGREE = 4
 #: Rows worked on at once.
 ROWS = 256
-#: Words an encoder remembers before it starts anew.
+#: Words an encoder gathers before it forgets those not met since the last time.
 KNOWN = 100_000
 
 _SPLIT = re.compile(r"(?<=\S)(?=[ \n])")
@@ -47,6 +47,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.leaf = leaf
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         chars = byte_table()
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
@@ -63,9 +64,14 @@ class Encoder:
         """Ids of each text; stretches beyond a leaf are joined here as well."""
         split = [_SPLIT.split(t) for t in texts]
         if len(self.known) > KNOWN:
-            self.known = {"": b""}
-        known = self.known
-        new = [w for w in {w for words in split for w in words} if w not in known]
+            self.older, self.known = self.known, {"": b""}
+        known, new = self.known, []
+        for word in {w for words in split for w in words}.difference(known):
+            before = self.older.get(word)
+            if before is None:
+                new.append(word)
+            else:
+                known[word] = before
         short = [w for w in new if len(w) <= self.leaf and w[0] in " \n" and not w[-1].isspace()]
         for start in range(0, len(short), 2048):
             self.learn(short[start : start + 2048])
