@@ -185,11 +185,10 @@ def _fit_curve(n: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
     """Least squares of y on 1, x, x^2 from power sums; returns coefficients and residual variance."""
     out = []
     for count, powers, products in zip(n, x, y):
-        size = 3 if count > 3 else 1
-        left = np.array([[powers[i + j] for j in range(size)] for i in range(size)])
-        beta = np.linalg.lstsq(left, np.array(products[:size]), rcond=None)[0]
-        rest = products[3] - float(beta @ np.array(products[:size]))
-        out.append([*beta, *[0.0] * (3 - size), max(rest, 0.0) / max(count - size, 1)])
+        left = np.array([[powers[i + j] for j in range(3)] for i in range(3)])
+        beta, _, rank, _ = np.linalg.lstsq(left, np.array(products[:3]), rcond=None)
+        rest = products[3] - float(beta @ np.array(products[:3]))
+        out.append([*beta, max(rest, 0.0) / max(count - rank, 1)])
     return pd.Series(out)
 
 
