@@ -28,6 +28,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from assaymill.llm.common import plain, written
@@ -126,7 +127,7 @@ NAMES = ["bucket", "kind", "h", "c", "doc", "row", "n", "start", "size"]
 
 
 def pack(bucket: np.ndarray, kind: int, h, c, doc, row, start, count) -> list[tuple]:
-    """A packed row for each bucket; documents are written once with their number of entries."""
+    """A packed row for each bucket; documents are written once with their number of entries, starts as differences."""
     out = []
     order = np.lexsort((start, row, doc, bucket))
     bucket, h, c, doc, row, start, count = (v[order] for v in (bucket, h, c, doc, row, start, count))
@@ -136,7 +137,7 @@ def pack(bucket: np.ndarray, kind: int, h, c, doc, row, start, count) -> list[tu
         at = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (r[1:] != r[:-1])]))
         out.append((
             int(bucket[a]), kind, h[a:b].astype(np.uint32).tobytes(), c[a:b].tobytes(), d[at].tobytes(), r[at].tobytes(),
-            np.diff(np.append(at, b - a)).astype(np.uint32).tobytes(), start[a:b].astype(np.uint32).tobytes(),
+            np.diff(np.append(at, b - a)).astype(np.uint32).tobytes(), np.diff(start[a:b], prepend=0).astype(np.uint32).tobytes(),
             count[a:b].astype(np.uint32).tobytes(),
         ))
     return out
@@ -151,7 +152,8 @@ def unpack(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
     n = column("n", np.uint32)
     return (
         column("h", np.uint32), column("c", U), np.repeat(column("doc", np.int64), n), np.repeat(column("row", np.int64), n),
-        column("start", np.uint32).astype(np.int64), column("size", np.uint32).astype(np.int64),
+        np.concatenate([np.cumsum(np.frombuffer(b, dtype=np.uint32), dtype=np.uint32) for b in rows["start"]]).astype(np.int64),
+        column("size", np.uint32).astype(np.int64),
     )
 
 
@@ -214,7 +216,7 @@ def anchored(texts: DataFrame, buckets: int) -> DataFrame:
                 shared = (np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin))[block]
             s = shared
             to = -1 - np.mod(row[s], buckets)
-            out += pack(to, 0, h[s] * U(0), c[s] * U(0), doc[s], row[s], start[s], count[s])
+            out += pack(to, 0, h[s] & U(0xFFFFFFFF), c[s] * U(0), doc[s], row[s], start[s], count[s])
             told = np.where(shared, U(0), c)  # no run has content 0 but by a chance of 2^-64, which only costs a look
             send = ~shared | new
             to = ((h >> U(32)) % U(buckets)).astype(np.int64)[send]
@@ -246,41 +248,44 @@ def settle_runs(packed: DataFrame, buckets: int) -> DataFrame:
         several = (np.minimum.reduceat(c, begin) != np.maximum.reduceat(c, begin))[block]
         look = several & ~gone & (c != 0)
         zero = np.zeros(int(look.sum()), dtype=U)
-        out += pack(np.mod(row[look], buckets), 0, zero, zero, doc[look], row[look], start[look], count[look])
+        out += pack(np.mod(row[look], buckets), 0, h[look], zero, doc[look], row[look], start[look], count[look])
         return _frame(out)
 
     return packed.groupBy("bucket").applyInPandas(settle, PACKED)
 
 
 def looked_at(texts: DataFrame, replies: DataFrame, buckets: int) -> DataFrame:
-    """Packed windows to be looked at, with the hashes of their content."""
+    """Packed windows to be looked at, by anchor, with the hash of their content.
+
+    The windows of a run share their anchor, so they travel together.
+    """
 
     def look(texts: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows[rows["kind"] == 0]
         if not len(rows) or not len(texts):
             return _frame([])
-        _, _, doc, row, start, count = unpack(rows)
+        h, _, doc, row, start, count = unpack(rows)
         order = np.argsort(row, kind="stable")
-        doc, row, start, count = (v[order] for v in (doc, row, start, count))
+        h, doc, row, start, count = (v[order] for v in (h, doc, row, start, count))
         parts = []
-        for address, text in zip(*(texts.drop_duplicates("row")[c] for c in ["row", "text"])):
+        large = zstandard.ZstdDecompressor()
+        for address, data in zip(*(texts.drop_duplicates("row")[c] for c in ["row", "data"])):
             a, b = np.searchsorted(row, address), np.searchsorted(row, address, side="right")
             if a == b:
                 continue
-            x = eights(np.frombuffer(text.encode(), dtype=np.uint8))
+            x = eights(np.frombuffer(large.decompress(data), dtype=np.uint8))
             n = count[a:b]
-            at = np.unique(np.repeat(start[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum()))
-            parts.append((window_hash(x, at, 3), window_hash(x, at, 4), np.full(len(at), doc[a]), np.full(len(at), address), at))
+            at, first = np.unique(np.repeat(start[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum()), return_index=True)
+            parts.append((window_hash(x, at, 3), np.repeat(h[a:b], n)[first], np.full(len(at), doc[a]), np.full(len(at), address), at))
         if not parts:
             return _frame([])
-        w, v, doc, row, at = (np.concatenate(p) for p in zip(*parts))
-        v = v & U(0xFFFFFFFF)
-        order, block, least = firsts([w, v], doc)
+        w, h, doc, row, at = (np.concatenate(p) for p in zip(*parts))
+        order, _, least = firsts([w, h], doc)
         gone = doc[order] > least
         done = order[gone]
         out = _goes(row[done], at[done], np.ones(len(done), dtype=np.int64), buckets, -1)
         kept = order[~gone]
-        out += pack((v[kept] % U(buckets)).astype(np.int64), 0, v[kept], w[kept], doc[kept], row[kept], at[kept], np.ones(len(kept), dtype=np.int64))
+        out += pack((h[kept] % buckets).astype(np.int64), 0, h[kept], w[kept], doc[kept], row[kept], at[kept], np.ones(len(kept), dtype=np.int64))
         return _frame(out)
 
     return texts.groupBy("to").cogroup(replies.withColumn("to", F.col("bucket")).groupBy("to")).applyInPandas(look, PACKED)
@@ -292,14 +297,26 @@ def settle_windows(packed: DataFrame, buckets: int) -> DataFrame:
     def settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         if key[0] < 0:
             return rows.assign(bucket=-1 - rows["bucket"])
-        v, w, doc, row, start, count = unpack(rows)
-        order, _, least = firsts([w, v], doc)
+        h, w, doc, row, start, count = unpack(rows)
+        order, _, least = firsts([w, h], doc)
         at = order[doc[order] > least]
         return _frame(_goes(row[at], start[at], count[at], buckets, 1))
 
     return packed.groupBy("bucket").applyInPandas(settle, PACKED)
 
 
+def compressed(rows: DataFrame) -> DataFrame:
+    """(doc_id, row, data): the bytes of the texts, compressed, as two steps move them."""
+
+    def run(batches):
+        small = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            data = pa.array([small.compress(t.as_py().encode()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), data], ["doc_id", "row", "data"])
+
+    return rows.select("doc_id", "row", "text").mapInArrow(run, "doc_id bigint, row bigint, data binary")
+
+
 def without(text: bytes, start: np.ndarray, count: np.ndarray) -> tuple[bytes, int, int]:
     """The bytes that stay, the number of those that go, and of their maximal runs, for windows that go."""
     change = np.zeros(len(text) + 1, dtype=np.int64)
@@ -322,7 +339,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET + 1)
     replies = written(settle_runs(anchored(rows, buckets), buckets), "replies")
-    texts = rows.withColumn("to", F.pmod("row", F.lit(buckets)))
+    texts = compressed(rows).withColumn("to", F.pmod("row", F.lit(buckets)))
     found = settle_windows(looked_at(texts, replies, buckets), buckets)
     goes = replies.filter("kind = 1").unionByName(found)
 
@@ -334,8 +351,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         else:
             row = start = count = np.array([], dtype=np.int64)
         out = []
-        for doc_id, address, text in zip(texts["doc_id"], texts["row"], texts["text"]):
-            data = text.encode()
+        large = zstandard.ZstdDecompressor()
+        for doc_id, address, data in zip(texts["doc_id"], texts["row"], texts["data"]):
+            data = large.decompress(data)
             a, b = np.searchsorted(row, address), np.searchsorted(row, address, side="right")
             kept, removed, spans = without(data, start[a:b], count[a:b]) if b > a else (data, 0, 0)
             out.append((doc_id, len(data), removed, spans, kept))
