@@ -20,7 +20,7 @@ from assaymill.llm.pieces import LONGEST, Pieces
 
 _WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
 #: Nodes a trie may have before it starts anew.
-NODES = 2_000_000
+NODES = 300_000
 
 
 def log_probabilities(n: int) -> list[float]:
@@ -38,7 +38,7 @@ class Trie:
         self.clear()
 
     def clear(self) -> None:
-        self.children: dict[tuple[int, int], int] = {}
+        self.children: dict[int, int] = {}
         self.best, self.pieces = [0.0], [0]
         self.terminal: dict[str, int] = {}
 
@@ -56,7 +56,7 @@ class Trie:
         node, path = 0, [0]
         children, best, pieces = self.children, self.best, self.pieces
         for end in range(1, len(text) + 1):
-            key = (node, text[end - 1])
+            key = node * 256 + text[end - 1]
             node = children.get(key, -1)
             if node < 0:
                 score, few = -math.inf, 0

@@ -23,7 +23,9 @@ LETTERS = re.compile(r"[^\W\d_]+")
 LABELLED, ROUNDS, PRIOR = 1500, 3, 0.05
 #: Words of more bytes are scored one by one with rescaling.
 SHORT = 40
-KNOWN = 300_000
+KNOWN = 100_000
+#: Rows worked on at once.
+ROWS = 256
 
 
 def words(text: str) -> list[str]:
@@ -74,15 +76,14 @@ def word_scores(found: list[str], pieces: Pieces, probability: np.ndarray) -> np
     """Log probability of each word under each language."""
     out = np.zeros((len(found), probability.shape[1]))
     coded = [b" " + w.encode() for w in found]
-    edges = [pieces.edges(w) for w in coded]
     sizes = np.array([len(w) for w in coded])
     short = np.flatnonzero(sizes <= SHORT)
-    for start in range(0, len(short), 8192):
-        part = short[start : start + 8192]
-        alpha, _ = lattice([edges[i] for i in part], probability)
+    for start in range(0, len(short), 4096):
+        part = short[start : start + 4096]
+        alpha, _ = lattice([pieces.edges(coded[i]) for i in part], probability)
         out[part] = np.log(alpha[np.arange(len(part)), sizes[part]])
     for i in np.flatnonzero(sizes > SHORT):
-        out[i] = long_word(edges[i], int(sizes[i]), probability)
+        out[i] = long_word(pieces.edges(coded[i]), int(sizes[i]), probability)
     return out
 
 
@@ -94,8 +95,8 @@ def expected(found: list[str], counts: np.ndarray, pieces: Pieces, probability:
     total = np.zeros_like(probability)
     coded = [b" " + w.encode() for w in found]
     keep = [i for i, w in enumerate(coded) if len(w) <= SHORT]
-    for start in range(0, len(keep), 8192):
-        part = keep[start : start + 8192]
+    for start in range(0, len(keep), 4096):
+        part = keep[start : start + 4096]
         sizes = np.array([len(coded[i]) for i in part])
         alpha, steps = lattice([pieces.edges(coded[i]) for i in part], probability)
         beta = np.zeros_like(alpha)
@@ -119,7 +120,7 @@ def labelled_words(docs: DataFrame, labelled: int = LABELLED) -> DataFrame:
     known = usable.join(chosen, F.col("doc_id") == F.col("_id"), "left_semi").select("lang", "text")
 
     def count(batches):
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             sums = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 sums.update((lang, w) for w in words(text))
@@ -177,7 +178,7 @@ def identify(docs: DataFrame, vocabulary: list[bytes], labelled: int = LABELLED)
         pieces = Pieces(vocabulary)
         known: dict[str, int] = {}
         scores = np.zeros((0, len(languages)))
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             texts = [words(t or "") if languages else [] for t in batch.column("text").to_pylist()]
             if len(known) > KNOWN:
                 known, scores = {}, scores[:0]
