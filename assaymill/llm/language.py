@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 LABELLED, ROUNDS, PRIOR = 1500, 3, 0.05
 #: Words of more bytes are scored one by one with rescaling.
 SHORT = 40
-KNOWN = 100_000
+KNOWN = 400_000
 #: Rows worked on at once.
 ROWS = 256
 
@@ -37,38 +38,43 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def lattice(found: list[list[tuple]], probability: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Forward sums of words of at most ``SHORT`` bytes: alpha[word, end, language], and the edges by end."""
-    rows = [(end, start, piece, n) for n, edges in enumerate(found) for end, start, piece in edges]
-    table = np.array(rows, dtype=np.int64).reshape(-1, 4)
+def summed(word: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words, which stand together, and the sums of their rows."""
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return word[first], np.add.reduceat(values, first, axis=0)
+
+
+def edge_table(found: list[list[int]]) -> np.ndarray:
+    """(end, start, piece, word) of all edges, word by word."""
+    flat = np.fromiter(chain.from_iterable(found), dtype=np.int64).reshape(-1, 3)
+    return np.column_stack([flat, np.repeat(np.arange(len(found)), [len(e) // 3 for e in found])])
+
+
+def forward(table: np.ndarray, size: int, probability: np.ndarray) -> np.ndarray:
+    """Forward sums of ``size`` words of at most ``SHORT`` bytes: alpha[word, end, language]."""
     table = table[np.argsort(table[:, 0], kind="stable")]
-    alpha = np.zeros((len(found), SHORT + 1, probability.shape[1]))
+    alpha = np.zeros((size, SHORT + 1, probability.shape[1]))
     alpha[:, 0] = 1.0
     ends = np.searchsorted(table[:, 0], np.arange(1, SHORT + 2))
-    steps = []
     for end in range(1, SHORT + 1):
         part = table[ends[end - 1] : ends[end]]
         if len(part):
-            np.add.at(alpha, (part[:, 3], end), alpha[part[:, 3], part[:, 1]] * probability[part[:, 2]])
-        steps.append(part)
-    return alpha, steps
+            word, sums = summed(part[:, 3], alpha[part[:, 3], part[:, 1]] * probability[part[:, 2]])
+            alpha[word, end] = sums
+    return alpha
 
 
-def long_word(edges: list[tuple], size: int, probability: np.ndarray) -> np.ndarray:
+def long_word(edges: list[int], size: int, probability: np.ndarray) -> np.ndarray:
     """Log forward sum of one word of any length; sums are rescaled as they go along."""
-    alpha = np.zeros((size + 1, probability.shape[1]))
     logs = np.zeros((size + 1, probability.shape[1]))
-    alpha[0] = 1.0
     by_end: dict[int, list] = {}
-    for end, start, piece in edges:
+    for end, start, piece in zip(edges[::3], edges[1::3], edges[2::3]):
         by_end.setdefault(end, []).append((start, piece))
     for end in range(1, size + 1):
         terms = by_end[end]
         starts = np.array([s for s, _ in terms])
         base = logs[starts].max(axis=0)
-        alpha[end] = (alpha[starts] * np.exp(logs[starts] - base) * probability[[p for _, p in terms]]).sum(axis=0)
-        logs[end] = base + np.log(alpha[end])
-        alpha[end] = 1.0
+        logs[end] = base + np.log((np.exp(logs[starts] - base) * probability[[p for _, p in terms]]).sum(axis=0))
     return logs[size]
 
 
@@ -80,7 +86,7 @@ def word_scores(found: list[str], pieces: Pieces, probability: np.ndarray) -> np
     short = np.flatnonzero(sizes <= SHORT)
     for start in range(0, len(short), 4096):
         part = short[start : start + 4096]
-        alpha, _ = lattice([pieces.edges(coded[i]) for i in part], probability)
+        alpha = forward(edge_table([pieces.edges(coded[i]) for i in part]), len(part), probability)
         out[part] = np.log(alpha[np.arange(len(part)), sizes[part]])
     for i in np.flatnonzero(sizes > SHORT):
         out[i] = long_word(pieces.edges(coded[i]), int(sizes[i]), probability)
@@ -98,16 +104,22 @@ def expected(found: list[str], counts: np.ndarray, pieces: Pieces, probability:
     for start in range(0, len(keep), 4096):
         part = keep[start : start + 4096]
         sizes = np.array([len(coded[i]) for i in part])
-        alpha, steps = lattice([pieces.edges(coded[i]) for i in part], probability)
+        table = edge_table([pieces.edges(coded[i]) for i in part])
+        alpha = forward(table, len(part), probability)
+        table = table[np.argsort(table[:, 1], kind="stable")]
         beta = np.zeros_like(alpha)
-        whole = alpha[np.arange(len(part)), sizes]
-        beta[np.arange(len(part)), sizes] = counts[part] / whole
-        for end in range(SHORT, 0, -1):
-            rows = steps[end - 1]
+        beta[np.arange(len(part)), sizes] = counts[part] / alpha[np.arange(len(part)), sizes]
+        begins = np.searchsorted(table[:, 1], np.arange(SHORT + 1))
+        flows = np.zeros((len(table), probability.shape[1]))
+        for begin in range(SHORT - 1, -1, -1):
+            rows = table[begins[begin] : begins[begin + 1]]
             if len(rows):
-                flow = probability[rows[:, 2]] * beta[rows[:, 3], end]
-                np.add.at(total, rows[:, 2], alpha[rows[:, 3], rows[:, 1]] * flow)
-                np.add.at(beta, (rows[:, 3], rows[:, 1]), flow)
+                flow = probability[rows[:, 2]] * beta[rows[:, 3], rows[:, 0]]
+                flows[begins[begin] : begins[begin + 1]] = alpha[rows[:, 3], rows[:, 1]] * flow
+                word, sums = summed(rows[:, 3], flow)
+                beta[word, begin] = sums
+        for k in range(total.shape[1]):
+            total[:, k] += np.bincount(table[:, 2], weights=flows[:, k], minlength=len(total))
     return total
 
 

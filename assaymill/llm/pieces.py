@@ -22,8 +22,8 @@ class Pieces:
         self.number = {piece: n for n, piece in enumerate(pieces)}
         self.prefixes = {piece[:k] for piece in pieces for k in range(1, len(piece) + 1)}
 
-    def edges(self, word: bytes) -> list[tuple[int, int, int]]:
-        """(end, start, piece) of each piece in ``word``, by end."""
+    def edges(self, word: bytes) -> list[int]:
+        """End, start and number of each piece in ``word``, one after the other, by start."""
         found = []
         number, prefixes = self.number, self.prefixes
         for start in range(len(word)):
@@ -33,6 +33,5 @@ class Pieces:
                     break
                 n = number.get(part)
                 if n is not None:
-                    found.append((end, start, n))
-        found.sort()
+                    found += (end, start, n)
         return found
