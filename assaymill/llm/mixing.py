@@ -19,7 +19,12 @@ from assaymill.llm.common import plain, written
 DOMAINS = ["good", "poor", "toxic"]
 #: Hashed words of the classifier and labelled rows it is fitted on.
 WIDTH, LABELLED = 1 << 15, 8000
-TOLERANCE = 1e-4
+#: A domain's tokens may be off by this part of their target.
+TOLERANCE = 1e-6
+#: Targets are out of reach if a step lowers the squared misses by less than these parts of the present and of the first ones.
+STILL, STILL_FIRST = 1e-4, 1e-8
+#: Rounds without a smaller miss before all documents measure the steps; steps before rates are written.
+PATIENCE, STRETCH = 8, 12
 
 
 def words(text: str) -> Column:
@@ -52,7 +57,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
     if sample.isEmpty():
         return None
     # Rows of every domain with no feature keep the number of classes.
-    return LogisticRegression(maxIter=60, regParam=0.0001, family="multinomial", standardization=False).fit(sample)
+    return LogisticRegression(maxIter=60, regParam=0.002, family="multinomial", standardization=False).fit(sample)
 
 
 def posteriors(docs: DataFrame, model: LogisticRegressionModel | None) -> DataFrame:
@@ -67,9 +72,9 @@ def posteriors(docs: DataFrame, model: LogisticRegressionModel | None) -> DataFr
     return scored.select("doc_id", "n_tokens", F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.coalesce(F.try_element_at(p, i), F.lit(0.0))).alias("p"))
 
 
-def rate(steps: list[list[float]]) -> Column:
-    """A document's rate after projected steps from 1: each adds p . step and cuts off below zero."""
-    value = F.lit(1.0)
+def rate(steps: list[list[float]], first: Column | None = None) -> Column:
+    """A document's rate after projected steps from ``first``, else 1: each adds p . step and cuts off below zero."""
+    value = F.lit(1.0) if first is None else first
     if not steps:
         return value
     moves = F.array(*[F.array(*map(F.lit, s)) for s in steps])
@@ -84,37 +89,84 @@ def dot(a: Column, b: Column) -> Column:
     return total
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], rounds: int = 40) -> list[list[float]]:
-    """Steps of ``rate`` that bring the expected domain tokens to ``targets``.
+def descend(look, goal: np.ndarray) -> list[list[float]]:
+    """Projected steps that bring the domain tokens to ``goal``.
 
-    A step is the gradient of the squared misses, measured by the inverse of the sum of
-    tokens * p p' over the documents whose rates are still above zero: on those alone it
-    would meet the targets at once. Each round is one sum over all documents. Stops when
-    no expected total is off by more than ``TOLERANCE`` of all tokens, when the misses no
-    longer shrink (targets out of reach; the last step is then left out), or after ``rounds``.
+    ``look(steps)``: the tokens of each domain after ``steps``, the sum of tokens * p p'
+    over the documents whose rates are then above zero, and how far the last step moved
+    the rates (sum of tokens * squared change).
+
+    A step is the gradient of the squared misses, measured by the inverse of that sum over
+    the open documents: on those alone it would meet the targets at once. It is halved
+    until the misses shrink by a fair part of what the rates moved. Where the open
+    documents cannot tell the domains apart, or misses have not shrunk for ``PATIENCE``
+    rounds, all documents measure it, which always shrinks them, and it begins at twice
+    the length of the one before. Ends when each domain is within ``TOLERANCE`` of its
+    target (of its first tokens if that is zero), or when a step measured by all documents
+    no longer lowers the squared misses: they are then about the least that rates can reach.
+    """
+    now, whole, _ = look([])
+    start = now
+    scale = np.where(goal > 0, goal, np.where(now > 0, now, 1.0))
+    # Small domains count like large ones in what is singular.
+    unit = 1.0 / np.sqrt(np.where(np.diag(whole) > 0, np.diag(whole), 1.0))
+    unit = np.outer(unit, unit)
+    rank = np.linalg.matrix_rank(whole * unit, tol=1e-9, hermitian=True)
+    open_, steps, best, since, fixed, far = whole, [], np.inf, 0, False, 0.5
+    while True:
+        miss = goal - now
+        off = float((np.abs(miss) / scale).max())
+        if off <= TOLERANCE:
+            return steps
+        since = 0 if off < best * 0.999 else since + 1
+        best = min(best, off)
+        fixed = fixed or since >= PATIENCE
+        all_ = fixed or np.linalg.matrix_rank(open_ * unit, tol=1e-9, hermitian=True) < rank
+        metric = np.linalg.pinv((whole if all_ else open_) * unit, rcond=1e-9, hermitian=True) * unit
+        step = metric @ miss
+        worth = float(miss @ step)
+        length = far = 2 * far if all_ else 1.0
+        while True:
+            new, opened, moved = look([*steps, [float(x) for x in length * step]])
+            left = goal - new
+            if worth - float(left @ metric @ left) >= 0.2 * moved / length or length < 1e-9:
+                break
+            length /= 2
+        first = float((goal - start) @ metric @ (goal - start))
+        if worth - float(left @ metric @ left) <= max(STILL * worth, STILL_FIRST * first if all_ else 0.0):
+            if all_:
+                return steps
+            fixed = True
+            continue
+        far = length if all_ else far
+        steps.append([float(x) for x in length * step])
+        now, open_ = new, opened
+
+
+def fit_rates(members: DataFrame, targets: dict[str, float]) -> list[list[float]]:
+    """Steps of ``rate`` that bring the expected domain tokens to ``targets``, see ``descend``.
+
+    Each look is one sum over all documents; rates are written every ``STRETCH`` steps,
+    so that a look costs the same however many steps there are.
     """
     k = len(DOMAINS)
-    goal = np.array([targets[d] for d in DOMAINS], dtype=np.float64)
-    steps: list[list[float]] = []
-    last = np.inf
-    for _ in range(rounds + 1):
-        rated = members.select("n_tokens", "p", rate(steps).alias("r"))
-        tokens = F.col("n_tokens").cast("double")
-        now = [F.sum(tokens * F.get("p", i) * F.col("r")) for i in range(k)]
-        open_ = F.when(F.col("r") > 0, tokens).otherwise(0.0)
+    at, base = 0, members.select("n_tokens", "p", F.lit(1.0).alias("r"))
+
+    def look(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray, float]:
+        nonlocal at, base
+        if len(steps) - 1 - at >= STRETCH:
+            base = written(base.select("n_tokens", "p", rate(steps[at:-1], F.col("r")).alias("r")), "rates")
+            at = len(steps) - 1
+        before = base.select("n_tokens", "p", rate(steps[at:-1], F.col("r")).alias("before"))
+        rated = before.select(F.col("n_tokens").cast("double").alias("n"), "p", "before", rate(steps[-1:], F.col("before")).alias("r"))
+        now = [F.sum(F.col("n") * F.get("p", i) * F.col("r")) for i in range(k)]
+        open_ = F.when(F.col("r") > 0, F.col("n")).otherwise(0.0)
         products = [F.sum(open_ * F.get("p", i) * F.get("p", j)) for i in range(k) for j in range(k)]
-        found = np.array([x or 0.0 for x in rated.agg(F.sum(tokens), *now, *products).first()], dtype=np.float64)
-        miss = goal - found[1 : k + 1]
-        off = float(np.abs(miss).max())
-        if off <= TOLERANCE * max(found[0], 1.0):
-            break
-        if off > last * 0.999 or len(steps) == rounds:
-            if off > last:
-                steps.pop()
-            break
-        last = off
-        steps.append([float(x) for x in np.linalg.pinv(found[k + 1 :].reshape(k, k), rcond=1e-9) @ miss])
-    return steps
+        change = F.col("r") - F.col("before")
+        found = np.array([x or 0.0 for x in rated.agg(*now, *products, F.sum(F.col("n") * change * change)).first()], dtype=np.float64)
+        return found[:k], found[k:-1].reshape(k, k), float(found[-1])
+
+    return descend(look, np.array([targets[d] for d in DOMAINS], dtype=np.float64))
 
 
 def totals(members: DataFrame) -> dict[str, float]:
