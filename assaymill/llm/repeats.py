@@ -254,11 +254,13 @@ def settle_runs(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(settle, PACKED)
 
 
-def looked_at(texts: DataFrame, replies: DataFrame, buckets: int) -> DataFrame:
-    """Packed windows to be looked at, by anchor, with the hash of their content.
+def window_bucket(content: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of single windows, from the hash of their own ``LENGTH`` bytes."""
+    return ((content >> U(32)) % U(buckets)).astype(np.int64)
 
-    The windows of a run share their anchor, so they travel together.
-    """
+
+def looked_at(texts: DataFrame, replies: DataFrame, buckets: int) -> DataFrame:
+    """Packed windows to be looked at, by the hash of their content, with their anchor."""
 
     def look(texts: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows[rows["kind"] == 0]
@@ -285,7 +287,8 @@ def looked_at(texts: DataFrame, replies: DataFrame, buckets: int) -> DataFrame:
         done = order[gone]
         out = _goes(row[done], at[done], np.ones(len(done), dtype=np.int64), buckets, -1)
         kept = order[~gone]
-        out += pack((h[kept] % buckets).astype(np.int64), 0, h[kept], w[kept], doc[kept], row[kept], at[kept], np.ones(len(kept), dtype=np.int64))
+        # By content and not by anchor: equal windows meet, and an anchor of many different ones spreads.
+        out += pack(window_bucket(w[kept], buckets), 0, h[kept], w[kept], doc[kept], row[kept], at[kept], np.ones(len(kept), dtype=np.int64))
         return _frame(out)
 
     return texts.groupBy("to").cogroup(replies.withColumn("to", F.col("bucket")).groupBy("to")).applyInPandas(look, PACKED)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from assaymill.llm import mixing
+from assaymill.llm import mixing, repeats
 
 
 def documents(shift: float, sharp: float = 3.0):
@@ -59,3 +59,16 @@ def test_rates_of_a_table_meet_each_target(spark):
 
 def test_the_pipeline_keeps_the_toxic_target():
     assert corpus_pipeline.KEEP == {"good": 1.0, "poor": 0.5, "toxic": 0.02}
+
+
+def test_windows_of_one_anchor_spread():
+    """Different windows under a common anchor go to many buckets, equal ones to one."""
+    draw = np.random.default_rng(3)
+    line = b"a line that very many documents have"
+    texts = [draw.bytes(60).hex().encode() + line + draw.bytes(60).hex().encode() for _ in range(300)]
+    _, _, _, h, _ = repeats.runs(texts)
+    assert np.unique(h, return_counts=True)[1].max() > 100
+    found = [repeats.window_hash(repeats.eights(np.frombuffer(t, dtype=np.uint8)), np.array([100]), 3) for t in texts]
+    to = repeats.window_bucket(np.concatenate(found), 64)
+    assert np.bincount(to, minlength=64).max() < 20
+    assert (repeats.window_bucket(np.concatenate(found), 64) == to).all()
