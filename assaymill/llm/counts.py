@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from assaymill.llm.common import plain
-from assaymill.llm.pieces import LONGEST, Pieces
+from assaymill.llm.pieces import Pieces
 
 _WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
 #: Nodes a trie may have before it starts anew.
@@ -29,11 +30,20 @@ def log_probabilities(n: int) -> list[float]:
     return [-math.log(r + 1) - total for r in range(n)]
 
 
+def endings(vocabulary: list[bytes]) -> dict[bytes, list[int]]:
+    """Lengths of the pieces that end with the same two bytes (one, for single bytes), longest first."""
+    found: dict[bytes, set[int]] = {}
+    for piece in vocabulary:
+        found.setdefault(piece[-2:], set()).add(len(piece))
+    return {end: sorted(sizes, reverse=True) for end, sizes in found.items()}
+
+
 class Trie:
     """Prefixes of pre-tokens, each with the best score of its segmentations and their pieces."""
 
     def __init__(self, vocabulary: list[bytes]):
-        self.number = Pieces(vocabulary).number
+        self.number = {piece: n for n, piece in enumerate(vocabulary)}
+        self.lengths = endings(vocabulary)
         self.logs = log_probabilities(len(vocabulary))
         self.clear()
 
@@ -60,7 +70,10 @@ class Trie:
             node = children.get(key, -1)
             if node < 0:
                 score, few = -math.inf, 0
-                for start in range(max(0, end - LONGEST), end):
+                for width in chain(self.lengths.get(text[max(0, end - 2) : end], ()) if end > 1 else (), (1,)):
+                    start = end - width
+                    if start < 0:
+                        continue
                     n = self.number.get(text[start:end])
                     if n is not None:
                         before = path[start]

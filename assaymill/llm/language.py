@@ -22,8 +22,8 @@ from assaymill.llm.pieces import Pieces
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Labelled documents of each language, rounds of estimation, weight given to each piece beforehand.
 LABELLED, ROUNDS, PRIOR = 1500, 3, 0.05
-#: Words of more bytes are scored one by one with rescaling.
-SHORT = 40
+#: Words of more bytes are scored one by one with rescaling, and learned from in logarithms, about ``CELLS`` bytes at once.
+SHORT, CELLS = 40, 50_000
 KNOWN = 400_000
 #: Rows worked on at once.
 ROWS = 256
@@ -93,13 +93,58 @@ def word_scores(found: list[str], pieces: Pieces, probability: np.ndarray) -> np
     return out
 
 
+def log_sums(values: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words, which stand together, and the logarithms of the sums of their rows."""
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return word[first], np.logaddexp.reduceat(values, first, axis=0)
+
+
+def expected_long(coded: list[bytes], counts: np.ndarray, pieces: Pieces, probability: np.ndarray) -> np.ndarray:
+    """As ``expected``, for words of any length: forward and backward sums are kept as logarithms."""
+    table, sizes = edge_table([pieces.edges(w) for w in coded]), np.array([len(w) for w in coded])
+    n, width = len(coded), int(sizes.max())
+    logs = np.log(probability)
+    alpha = np.full((n, width + 1, probability.shape[1]), -np.inf)
+    beta = alpha.copy()
+    alpha[:, 0] = 0.0
+    beta[np.arange(n), sizes] = 0.0
+    table = table[np.argsort(table[:, 0], kind="stable")]
+    edges = np.searchsorted(table[:, 0], np.arange(width + 2))
+    for end in range(1, width + 1):
+        rows = table[edges[end] : edges[end + 1]]
+        if len(rows):
+            word, sums = log_sums(alpha[rows[:, 3], rows[:, 1]] + logs[rows[:, 2]], rows[:, 3])
+            alpha[word, end] = sums
+    table = table[np.lexsort((table[:, 3], table[:, 1]))]
+    edges = np.searchsorted(table[:, 1], np.arange(width + 2))
+    whole = alpha[np.arange(n), sizes]
+    flows = np.zeros((len(table), probability.shape[1]))
+    for begin in range(width - 1, -1, -1):
+        a, b = edges[begin], edges[begin + 1]
+        rows = table[a:b]
+        if len(rows):
+            flow = logs[rows[:, 2]] + beta[rows[:, 3], rows[:, 0]]
+            flows[a:b] = np.exp(alpha[rows[:, 3], rows[:, 1]] + flow - whole[rows[:, 3]]) * counts[rows[:, 3]]
+            word, sums = log_sums(flow, rows[:, 3])
+            beta[word, begin] = sums
+    return np.column_stack([np.bincount(table[:, 2], weights=flows[:, k], minlength=len(probability)) for k in range(flows.shape[1])])
+
+
 def expected(found: list[str], counts: np.ndarray, pieces: Pieces, probability: np.ndarray) -> np.ndarray:
-    """Expected number of each piece, over all segmentations of each word, for words of at most ``SHORT`` bytes.
+    """Expected number of each piece, over all segmentations of each word.
 
     ``counts``: how often each language has each word.
     """
     total = np.zeros_like(probability)
     coded = [b" " + w.encode() for w in found]
+    part: list[int] = []
+    for i in sorted((i for i, w in enumerate(coded) if len(w) > SHORT), key=lambda i: len(coded[i])):
+        if part and (len(part) + 1) * len(coded[i]) > CELLS:
+            total += expected_long([coded[j] for j in part], counts[part], pieces, probability)
+            part = []
+        part.append(i)
+    if part:
+        total += expected_long([coded[j] for j in part], counts[part], pieces, probability)
     keep = [i for i, w in enumerate(coded) if len(w) <= SHORT]
     for start in range(0, len(keep), 4096):
         part = keep[start : start + 4096]

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from assaymill.llm import mixing, repeats
+from assaymill.llm import counts, language, mixing, repeats
+from assaymill.llm.pieces import read_pieces
+from assaymill.llm.queries import VOCABULARIES
 
 
 def documents(shift: float, sharp: float = 3.0):
@@ -61,6 +63,34 @@ def test_the_pipeline_keeps_the_toxic_target():
     assert corpus_pipeline.KEEP == {"good": 1.0, "poor": 0.5, "toxic": 0.02}
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k", "byte_bpe_multi_50k"])
+def test_all_pieces_are_read(name):
+    path = f"{VOCABULARIES}/{name}.tiktoken"
+    with open(path, "rb") as lines:
+        assert len(read_pieces(path)) == sum(1 for line in lines if line.strip())
+
+
+def test_a_long_piece_is_one_token():
+    vocabulary = read_pieces(f"{VOCABULARIES}/byte_bpe_50k.tiktoken")
+    trie = counts.Trie(vocabulary)
+    assert trie.count("responsibilities") == trie.count("telecommunications") == 1
+    assert trie.count("responsibilitiesresponsibilities") > 1
+
+
+def test_long_words_are_learned_from(monkeypatch):
+    """In logarithms as by plain sums, in several batches, and without underflow."""
+    pieces = language.Pieces([b" ", b"a", b"b", b" a", b"ab", b" ab", b"ababababababababababab"])
+    probability = np.array([[0.2, 0.1], [0.1, 0.3], [0.3, 0.1], [0.1, 0.2], [0.2, 0.2], [0.05, 0.05], [0.05, 0.05]])
+    found, weight = ["ab" * 11, "abab", "ba" * 9, "a"], np.array([[1.0, 2.0], [3.0, 0.0], [0.0, 1.0], [2.0, 2.0]])
+    plain = language.expected(found, weight, pieces, probability)
+    monkeypatch.setattr(language, "SHORT", 3)
+    monkeypatch.setattr(language, "CELLS", 30)
+    assert np.allclose(language.expected(found, weight, pieces, probability), plain)
+    n = language.expected(["ab" * 3000], np.array([[1.0, 0.0]]), pieces, probability * 1e-3)
+    sizes = np.array([len(p) for p in pieces.number])
+    assert n[:, 0] @ sizes == pytest.approx(6001) and not n[:, 1].any()
+
+
 def test_windows_of_one_anchor_spread():
     """Different windows under a common anchor go to many buckets, equal ones to one."""
     draw = np.random.default_rng(3)
