@@ -1,4 +1,4 @@
-"""The corpus pipeline: filter, deduplicate, mix and encode the documents.
+"""The corpus pipeline: filter, deduplicate, mix, encode and decode the documents.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and
 read again as the next one's documents. All but the last return the columns of documents.
@@ -40,9 +40,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids and number of tokens of each document."""
-    coded = bpe.encode(docs, f"{VOCABULARIES}/byte_bpe_50k.json")
-    return coded.withColumn("n_tokens", F.size("ids").cast("bigint"))
+    """doc_id, ids, number of tokens of each document, and the SHA-256 of the text that the ids decode to."""
+    coded = bpe.encode(docs, f"{VOCABULARIES}/byte_bpe_50k.json", decoded=True)
+    return coded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES = [

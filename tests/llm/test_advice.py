@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -102,3 +104,10 @@ def test_windows_of_one_anchor_spread():
     to = repeats.window_bucket(np.concatenate(found), 64)
     assert np.bincount(to, minlength=64).max() < 20
     assert (repeats.window_bucket(np.concatenate(found), 64) == to).all()
+
+
+def test_the_last_stage_decodes(spark):
+    texts = ["a plain text", "né 😀  two\nlines "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.encode(spark, docs, "").collect()}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
