@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaymill.llm import bpe, counts, exact, language, mixing, private, quality, repeats, secrets, simhash
+from assaymill.llm import bpe, counts, divergence, exact, language, mixing, private, quality, repeats, secrets, simhash
 from assaymill.llm.pieces import read_pieces
 
 #: Folder of the public vocabulary files.
@@ -67,6 +67,10 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_private_spans": op1_private_spans,
     "op2_simhash": op2_simhash,
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_repeats": op10_repeats,
+    "op12_divergence": op12_divergence,
 }
 
 SQL = {
@@ -89,4 +94,34 @@ SQL = {
         select doc_id, first_value(doc_id) over w keep_id, count(*) over (partition by text_sha256) group_size,
                doc_id = first_value(doc_id) over w kept, text_sha256
         from t window w as (partition by text_sha256 order by n desc, doc_id)""",
+    "op12_divergence": r"""
+        with d as materialized (
+            select row_number() over () as r, coalesce(lang, '') lang, coalesce(source, '') source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+            from documents),
+        w as (select r, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+        c as materialized (select lang, source, term, count(*) n, count(distinct r) k from w group by all),
+        kept as materialized (select lang, term, sum(n)::hugeint n from c group by all having sum(k) >= 10),
+        v as (select lang, count(*)::hugeint v, sum(n)::hugeint total from kept group by all),
+        g as materialized (select lang, source, coalesce(v, 0)::hugeint v, coalesce(total, 0)::hugeint total
+                           from (select distinct lang, source from d) left join v using (lang)),
+        size as (select lang, source, sum(c.n)::hugeint total from c join kept using (lang, term) group by all),
+        cell as materialized (
+            select g.lang, g.source, kept.term, coalesce(c.n, 0) n,
+                   1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (coalesce(size.total, 0) + 2 * g.v) p,
+                   1 + (1000000000::hugeint * (kept.n + 2)) // (g.total + 2 * g.v) q
+            from g join kept using (lang) left join size using (lang, source) left join c on c.lang = g.lang and c.source = g.source and c.term = kept.term),
+        total as (
+            select a.lang, a.source, b.source item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) s
+            from cell a join cell b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+        pairs as (
+            select a.lang, a.source, 'pair' part, b.source item, coalesce(s, 0) value_
+            from g a join g b on a.lang = b.lang and a.source <> b.source
+            left join total t on t.lang = a.lang and t.source = a.source and t.item = b.source),
+        words as (select lang, source, 'term' part, term item, (p - q) * (p - q) // (p + q) value_ from cell where n > 0 and p > q),
+        ranked as (
+            select *, row_number() over (partition by lang, source, part order by value_ desc, encode(item)) place
+            from (select * from pairs union all select * from words))
+        select lang, source, part, item, value_::bigint as "value", place::int as "rank"
+        from ranked where part = 'pair' or place <= 10""",
 }
