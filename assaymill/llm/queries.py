@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaymill.llm import bpe, counts, divergence, exact, language, mixing, private, quality, repeats, secrets, simhash
+from assaymill.llm import bpe, counts, divergence, exact, language, mixing, passages, phrases, private, quality, repeats, secrets, simhash
 from assaymill.llm.pieces import read_pieces
 
 #: Folder of the public vocabulary files.
@@ -67,10 +67,18 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op11_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(table(spark, folder, "documents"))
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_private_spans": op1_private_spans,
     "op2_simhash": op2_simhash,
@@ -82,7 +90,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_repeats": op10_repeats,
+    "op11_passages": op11_passages,
     "op12_divergence": op12_divergence,
+    "op13_phrases": op13_phrases,
 }
 
 SQL = {
@@ -124,4 +134,28 @@ SQL = {
             from (select * from pairs union all select * from words))
         select lang, source, part, item, value_::bigint as "value", place::int as "rank"
         from ranked where part = 'pair' or place <= 10""",
+    "op13_phrases": r"""
+        with d as (
+            select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+            from documents),
+        piece as (select lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) as piece from d),
+        w as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from piece),
+        size as (select unnest(range(1, 5)) as k),
+        gram as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) as phrase from w, size),
+        f as materialized (select lang, k, phrase, count(*) f from gram group by all having count(*) >= 30),
+        n as (select lang, sum(len(w))::bigint n from w group by lang),
+        cut as (
+            select c.lang, c.phrase, c.f a, unnest(range(1, c.k)) as j, string_split(c.phrase, ' ') as parts from f c where k > 1),
+        score as (
+            select c.lang, c.phrase, c.a, c.j, x.f l, y.f r, (2000000::hugeint * c.a) // (x.f + y.f) s
+            from cut c join f x on x.lang = c.lang and x.phrase = array_to_string(c.parts[1:j], ' ')
+            join f y on y.lang = c.lang and y.phrase = array_to_string(c.parts[j+1:], ' ')),
+        best as (select * from score qualify row_number() over (partition by lang, phrase order by s, j) = 1),
+        kept as (
+            select * from best b
+            where not exists (
+                select 1 from f where f.lang = b.lang and f.k > len(string_split(b.phrase, ' ')) and f.f * 100 >= b.a * 80
+                and contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' '))),
+        ranked as (select *, row_number() over (partition by lang order by s desc, a desc, encode(phrase)) place from kept)
+        select lang, place::bigint as "rank", phrase, a, l, r, n, s::bigint as score from ranked join n using (lang) where place <= 2000""",
 }
