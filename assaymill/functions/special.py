@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Column, functions as F, types as T
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -121,14 +121,26 @@ def t_for_two_sided(p: np.ndarray, df: np.ndarray) -> np.ndarray:
 DOUBLE = T.DoubleType()
 
 
-@F.pandas_udf(DOUBLE)
-def digamma_of(x: pd.Series) -> pd.Series:
-    return pd.Series(digamma(x.to_numpy()))
+def digamma_of(x: Column) -> Column:
+    """Digamma of a positive column: eight steps up, then its series."""
+    y = x + 8
+    inv = 1 / (y * y)
+    series = inv * (1 / 12 - inv * (1 / 120 - inv * (1 / 252 - inv * (1 / 240 - inv / 132))))
+    value = F.log(y) - 0.5 / y - series
+    for k in range(8):
+        value = value - 1 / (x + k)
+    return value
 
 
-@F.pandas_udf(DOUBLE)
-def trigamma_of(x: pd.Series) -> pd.Series:
-    return pd.Series(trigamma(x.to_numpy()))
+def trigamma_of(x: Column) -> Column:
+    """Trigamma of a positive column: eight steps up, then its series."""
+    y = x + 8
+    inv = 1 / (y * y)
+    series = 1 / 6 - inv * (1 / 30 - inv * (1 / 42 - inv * (1 / 30 - inv * 5 / 66)))
+    value = 1 / y + inv / 2 + inv / y * series
+    for k in range(8):
+        value = value + 1 / ((x + k) * (x + k))
+    return value
 
 
 @F.pandas_udf(DOUBLE)

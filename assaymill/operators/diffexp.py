@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assaymill.functions.special import (
     digamma_of, t_for_two_sided_of, trigamma_inverse_of, trigamma_of, two_sided_t_of,
@@ -19,6 +17,7 @@ from assaymill.operators.counts import value_quantiles
 from assaymill.operators.ordering import (
     average_rank, first_by, numbered, quantiles, running_min_from_end, value_spans,
 )
+from assaymill.operators.splines import fit_spline, spline_at
 from assaymill.session import cut
 
 
@@ -177,71 +176,33 @@ def contrast(df: DataFrame, mode: str = "difference") -> DataFrame:
     )
 
 
-CURVE = T.ArrayType(T.DoubleType())
-
-
-@F.pandas_udf(CURVE)
-def _fit_curve(n: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-    """Least squares of y on 1, x, x^2 from power sums; returns coefficients and residual variance."""
-    out = []
-    for count, powers, products in zip(n, x, y):
-        left = np.array([[powers[i + j] for j in range(3)] for i in range(3)])
-        beta, _, rank, _ = np.linalg.lstsq(left, np.array(products[:3]), rcond=None)
-        rest = products[3] - float(beta @ np.array(products[:3]))
-        out.append([*beta, max(rest, 0.0) / max(count - rank, 1)])
-    return pd.Series(out)
-
-
 def variance_priors(df: DataFrame, trend: bool) -> DataFrame:
-    """Per pair the prior degrees of freedom ``d0`` and the curve of log variances on mean expression.
+    """Per pair the prior degrees of freedom ``d0``, what the prior variance is made of, and the pooled freedom.
 
-    Without ``trend`` the curve is constant. With it, a quadratic in the mean
-    approximates the spline of the published method. Genes without variance are left
-    out. Only sums are gathered; the equations are solved once per pair, inside Spark.
+    Log variances, less what their freedom adds, have a mean, or with ``trend`` a natural
+    spline in the mean expression; their spread beyond that of their freedom gives ``d0``.
+    Variances of zero are set off from zero by a share of the pair's median.
     """
     half = F.col("df") / 2
-    logs = (
-        df.filter("s2 > 0 and df > 0")
-        .groupBy("pair", "df")
-        .agg(*_power_sums(F.log("s2") + F.log(half), trend), F.count(F.lit(1)).alias("n"), F.sum("df").alias("sum_df"))
-        .withColumns({"shift": digamma_of(half), "bend": trigamma_of(half)})
-    )
-    shifted = logs.select(
-        "pair", "n", "sum_df", "bend", *[f"x{i}" for i in range(5)],
-        *[(F.col(f"y{i}") - F.col("shift") * F.col(f"x{i}")).alias(f"y{i}") for i in range(3)],
-        (F.col("yy") - 2 * F.col("shift") * F.col("y0") + F.col("shift") ** 2 * F.col("x0")).alias("yy"),
-    )
-    sums = shifted.groupBy("pair").agg(
-        F.sum("n").alias("n"), F.sum("sum_df").alias("df_pooled"),
-        (F.sum(F.col("bend") * F.col("n")) / F.sum("n")).alias("bend"),
-        F.array(*[F.sum(f"x{i}") for i in range(5)]).alias("x"),
-        F.array(*[F.sum(f"y{i}") for i in range(3)], F.sum("yy")).alias("y"),
+    usable = df.filter("df > 0 and s2 is not null and ave_expr is not null")
+    floors = quantiles(usable, ["pair"], "s2", {"mid": 0.5})
+    floors = floors.select("pair", (F.when(F.col("mid") > 0, F.col("mid")).otherwise(F.lit(1.0)) * 1e-5).alias("_floor"))
+    logs = usable.join(floors, "pair").withColumn("_x", F.greatest("s2", "_floor"))
+    logs = cut(logs.select("pair", "ave_expr", "_x", (F.log("_x") - digamma_of(half) + F.log(half)).alias("_e"), trigamma_of(half).alias("_bend")))
+    means = logs.groupBy("pair").agg(
+        F.count(F.lit(1)).alias("_n"), F.avg("_bend").alias("_bend"), F.avg("_x").alias("mean_x"), F.avg("_e").alias("mean_e"),
+        F.var_samp("_e").alias("_spread"),
     )
     if trend:
-        curve = _fit_curve(F.col("n"), F.col("x"), F.col("y"))
+        means = means.join(fit_spline(logs, ["pair"], "ave_expr", "_e").drop("n"), "pair")
+        means = means.withColumn("_spread", F.when(F.col("width") > 1, F.col("noise")).otherwise(F.col("_spread")))
     else:
-        mean = F.col("y")[0] / F.col("n")
-        curve = F.array(
-            mean, F.lit(0.0), F.lit(0.0), (F.col("y")[3] - F.col("n") * mean * mean) / F.greatest(F.col("n") - 1, F.lit(1))
-        )
-    fitted = sums.withColumn("curve", curve)
-    d0 = 2 * trigamma_inverse_of(F.col("curve")[3] - F.col("bend"))
-    return (
-        fitted.withColumn("d0", d0)
-        .withColumn("lift", F.when(F.col("d0") < 1e10, digamma_of(F.least(F.col("d0"), F.lit(1e10)) / 2)
-                                   - F.log(F.col("d0") / 2)).otherwise(F.lit(0.0)))
-        .select("pair", "d0", "lift", "curve", "df_pooled")
-    )
-
-
-def _power_sums(y: Column, trend: bool) -> list[Column]:
-    x = F.col("ave_expr") if trend else F.lit(0.0)
-    powers = [F.lit(1.0), x, x * x, x * x * x, x * x * x * x]
-    return (
-        [F.sum(p).alias(f"x{i}") for i, p in enumerate(powers)]
-        + [F.sum(powers[i] * y).alias(f"y{i}") for i in range(3)]
-        + [F.sum(y * y).alias("yy")]
-    )
+        means = means.withColumn("width", F.lit(1))
+    d0 = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(2 * trigamma_inverse_of(F.col("_spread") - F.col("_bend")))
+    finite = F.col("d0").between(1e-300, 1e10)
+    lift = F.when(finite, digamma_of(F.col("d0") / 2) - F.log(F.col("d0") / 2)).otherwise(F.lit(0.0))
+    pooled = df.groupBy("pair").agg(F.sum(F.greatest("df", F.lit(0))).alias("df_pooled"))
+    return means.withColumn("d0", d0).withColumn("lift", lift).drop("_n", "_bend", "_spread", "noise").join(pooled, "pair")
 
 
 def moderated_t(df: DataFrame, trend: bool = False, proportion: float = 0.01) -> DataFrame:
@@ -251,35 +212,35 @@ def moderated_t(df: DataFrame, trend: bool = False, proportion: float = 0.01) ->
     contrast behind ``b`` comes from the leading genes of each pair, as published.
     """
     df = cut(df)
-    x = F.col("ave_expr")
-    prior = F.exp(F.col("curve")[0] + F.col("curve")[1] * x + F.col("curve")[2] * x * x + F.col("lift"))
+    endless = F.col("d0") >= 1e10
+    level = F.when(endless & (F.col("width") == 1), F.col("mean_x")).otherwise(F.exp(F.col("mean_e") + F.col("lift")))
+    prior = F.when(F.col("width") > 1, F.exp(spline_at("ave_expr") + F.col("lift"))).otherwise(level) if trend else level
     weight = F.col("d0") / (F.col("d0") + F.col("df"))
-    posterior = F.when(F.col("d0") < 1e10, weight * F.col("s2_prior") + (1 - weight) * F.col("s2")).otherwise(
-        F.col("s2_prior")
-    )
+    posterior = F.when(endless, F.col("s2_prior")).otherwise(weight * F.col("s2_prior") + (1 - weight) * F.col("s2"))
+    rated = df.filter("s2 is not null and log_fc is not null").join(variance_priors(df, trend), "pair")
     scored = (
-        df.filter("s2 is not null and log_fc is not null")
-        .join(variance_priors(df, trend), "pair")
-        .withColumn("s2_prior", prior)
+        rated.withColumn("s2_prior", prior)
         .withColumn("s2_post", posterior)
         .withColumn("df_total", F.least(F.col("df") + F.col("d0"), F.col("df_pooled")))
         .withColumn("t", F.col("log_fc") / (F.col("unscaled") * F.sqrt("s2_post")))
         .withColumn("p_value", two_sided_t_of(F.col("t"), F.col("df_total").cast("double")))
-        .drop("curve", "lift", "df_pooled")
+        .select(*df.columns, "d0", "s2_prior", "s2_post", "df_total", "t", "p_value")
     )
     scored = cut(scored)
     priors = contrast_priors(scored, proportion)
     ratio = (F.col("unscaled") ** 2 + F.col("v0")) / F.col("unscaled") ** 2
     square, freedom = F.col("t") * F.col("t"), F.col("df_total")
-    kernel = (1 + freedom) / 2 * F.log((square + freedom) / (square / ratio + freedom))
+    kernel = F.when(F.col("d0") > 1e6, square * (1 - 1 / ratio) / 2).otherwise(
+        (1 + freedom) / 2 * F.log((square + freedom) / (square / ratio + freedom))
+    )
     odds = math.log(proportion / (1 - proportion)) - F.log(ratio) / 2 + kernel
     return scored.join(priors, "pair").withColumn("b", odds).drop("v0", "s2_prior")
 
 
 def contrast_priors(df: DataFrame, proportion: float, low: float = 0.1, high: float = 4.0) -> DataFrame:
     """(pair, v0): prior variance of the contrast, a mean over the leading genes by |t|."""
-    counts = df.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.max("df_total").alias("top_df"),
-                                    F.median("s2_prior").alias("s2_prior"))
+    counts = df.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.max("df_total").alias("top_df"))
+    counts = counts.join(quantiles(df, ["pair"], "s2_prior", {"s2_prior": 0.5}), "pair")
     size = F.ceil(F.lit(proportion / 2) * F.col("n"))
     on_top_df = t_for_two_sided_of(F.greatest(F.col("p_value"), F.lit(1e-300)), F.col("top_df").cast("double"))
     values = df.select("pair", "gene", "t", "p_value", "unscaled", "df_total").join(counts, "pair")
