@@ -6,15 +6,14 @@ bursts into a level of smaller ones. When the trie is full its largest subtrees
 whole, as runs sorted by their words, and Spark merges the runs of all tasks by path. A
 phrase counts as the prefix of all paths that begin with it.
 
-Words and pairs are counted first. Longer paths follow only along pairs that are frequent,
-as all pairs within a frequent phrase are. The tasks look pairs up in a filter of a fixed
-number of bits: a false hit costs a row, and no frequent phrase is missed.
+A path goes on only along pairs of words that may be frequent, as all pairs within a
+frequent phrase are. A first pass counts hashes of pairs to find these; tasks look them up
+in a filter of a fixed number of bits. A false hit costs a row, no frequent phrase is
+missed, and what is counted are words, never hashes.
 """
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,8 +29,8 @@ LEAST, LONGEST, TOP = 30, 4, 2000
 BURST, ENTRIES, NUMBERED = 4096, 400_000, 300_000
 #: Bits of the filter of frequent pairs, a power of two: 8 MB at any size of the input.
 BITS = 1 << 26
-#: Rows worked on at once.
-ROWS = 256
+#: Rows read at once, words worked on at once, hashes of pairs held before they are handed on.
+ROWS, TOKENS, PAIRS = 128, 400_000, 3_000_000
 END = -1
 
 
@@ -107,15 +106,27 @@ class Ids(dict):
     """Word -> id, with the words and their hashes by id."""
 
     def __init__(self):
+        self.start()
+
+    def start(self) -> None:
+        """Begin anew without any word."""
+        self.clear()
         self.words: list[bytes] = []
-        self.hashes: list[int] = []
+        self._new: list[int] = []
+        self._hashes = np.empty(0, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.words)
         self.words.append(word)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
+        self._new.append(xxhash.xxh64_intdigest(word))
         return number
 
+    def hashes(self) -> np.ndarray:
+        if self._new:
+            self._hashes = np.concatenate([self._hashes, np.array(self._new, dtype=np.uint64)])
+            self._new = []
+        return self._hashes
+
 
 def numbers(text: str, ids: Ids) -> list[int]:
     """Ids of the words of ``text``, with ``END`` behind each piece."""
@@ -127,6 +138,28 @@ def numbers(text: str, ids: Ids) -> list[int]:
     return found
 
 
+def blocks(batches, ids: Ids):
+    """(language, ids of the words) of about ``TOKENS`` words at once; texts stay whole.
+
+    (None, None) says that no word waits and that ``ids`` hold many: they may start anew.
+    """
+    held: dict[str, list] = {}
+    size: dict[str, int] = {}
+    for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            codes = np.array(numbers(text, ids), dtype=np.int64)
+            held.setdefault(lang, []).append(codes)
+            size[lang] = size.get(lang, 0) + len(codes)
+            if size[lang] > TOKENS:
+                size[lang] = 0
+                yield lang, np.concatenate(held.pop(lang))
+        if len(ids) > NUMBERED:
+            yield from ((lang, np.concatenate(parts)) for lang, parts in held.items())
+            held, size = {}, {}
+            yield None, None
+    yield from ((lang, np.concatenate(parts)) for lang, parts in held.items())
+
+
 def pair_hash(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """64-bit hash of pairs of words, given by their hashes."""
     x = first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1))
@@ -135,123 +168,112 @@ def pair_hash(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of the filter for each hash."""
-    mask = np.uint64(bits - 1)
-    return hashes & mask, (hashes >> np.uint64(36)) & mask
+def pairs_of(lang: str, codes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of ``codes`` where a pair begins, and the hashes of the pairs."""
+    here = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
+    return here, pair_hash(lang, hashes[codes[here]], hashes[codes[here + 1]])
 
 
 class Filter:
-    """A set of pairs in a fixed number of bits."""
+    """A set of hashes in a fixed number of bits, two for each."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
+        mask = np.uint64(64 * len(self.words) - 1)
         found = np.ones(len(hashes), dtype=bool)
-        for slot in slots(hashes, 64 * len(self.words)):
+        for slot in (hashes & mask, (hashes >> np.uint64(36)) & mask):
             found &= (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
         return found
 
 
-def pair_filter(pairs: DataFrame, bits: int = BITS) -> Filter:
-    """Filter of (lang, w1, w2). Tasks or their bits together; the driver sees at most bits / 64 numbers."""
-
-    def mark(batches):
-        for batch in batches:
-            table = batch.to_pandas()
-            for lang, part in table.groupby("lang", sort=False):
-                first, second = (np.array([xxhash.xxh64_intdigest(w.encode()) for w in part[c]], dtype=np.uint64) for c in ("w1", "w2"))
-                slot = np.concatenate(slots(pair_hash(lang, first, second), bits))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (slot & np.uint64(63))).view(np.int64))], ["slot", "bit"]
-                )
+def pair_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
+    """Filter of the pairs whose hash occurs ``least`` times. The driver sees at most bits / 64 numbers."""
 
-    marks = pairs.select("lang", "w1", "w2").mapInArrow(mark, "slot bigint, bit bigint")
-    found = marks.groupBy("slot").agg(F.bit_or("bit").alias("bit")).toPandas()
+    def count(batches):
+        ids, held, size = Ids(), [], 0
+
+        def out():
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], ["pair", "n"])
+
+        for lang, codes in blocks(batches, ids):
+            if lang is None:
+                ids.start()
+                continue
+            held.append(pairs_of(lang, codes, ids.hashes())[1])
+            size += len(held[-1])
+            if size > PAIRS:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
+
+    each = docs.mapInArrow(count, "pair bigint, n bigint")
+    frequent = each.groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    place = F.explode(F.array(F.col("pair").bitwiseAND(bits - 1), F.shiftrightunsigned("pair", 36).bitwiseAND(bits - 1)))
+    marks = frequent.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bit"))
+    found = marks.toPandas()
     words = np.zeros(bits // 64, dtype=np.uint64)
     words[found["slot"].to_numpy(dtype=np.int64)] = found["bit"].to_numpy(dtype=np.int64).view(np.uint64)
     return Filter(words)
 
 
-def steps(codes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Paths of a word and its follower, ``END`` where it has none."""
+def chains(lang: str, codes: np.ndarray, hashes: np.ndarray, known: Filter) -> tuple[np.ndarray, ...]:
+    """A path of ``LONGEST`` ids from each word, along pairs that ``known`` has; ``END`` from where it stops."""
+    here, pairs = pairs_of(lang, codes, hashes)
+    good = np.zeros(len(codes) + LONGEST, dtype=bool)
+    good[here[known.has(pairs)]] = True
     at = np.flatnonzero(codes >= 0)
-    return codes[at], codes[at + 1]
-
-
-def chains(codes: np.ndarray, lang: str, hashes: np.ndarray, known: Filter) -> tuple[np.ndarray, ...]:
-    """Paths of three or four words along pairs that ``known`` has; ``END`` where the fourth is missing."""
-    here = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
-    here = here[known.has(pair_hash(lang, hashes[codes[here]], hashes[codes[here + 1]]))]
-    good = np.zeros(len(codes) + 2, dtype=bool)
-    good[here] = True
-    at = here[good[here + 1]]
-    fourth = np.full(len(at), END, dtype=codes.dtype)
-    more = good[at + 2]
-    fourth[more] = codes[at[more] + 3]
-    return codes[at], codes[at + 1], codes[at + 2], fourth
-
-
-def counted_paths(docs: DataFrame, length: int, known=None) -> DataFrame:
-    """(lang, w1, ..., n): how often each path of ``length`` words occurs, its last word NULL where it ends before.
-
-    Without ``known``, a broadcast filter, every word and its follower are counted, and
-    rows with a NULL second word count the word itself wherever it occurs.
-    """
-    names = [f"w{k}" for k in range(1, length + 1)]
+    goes, columns = np.ones(len(at), dtype=bool), [codes[at]]
+    for k in range(1, LONGEST):
+        goes = goes & good[at + k - 1]
+        column = np.full(len(at), END, dtype=np.int64)
+        column[goes] = codes[at[goes] + k]
+        columns.append(column)
+    return tuple(columns)
+
+
+def distinct_paths(columns: tuple[np.ndarray, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows and how often each occurs."""
+    # Ids are below 2^31: two fit one number.
+    packed = [(columns[k] << 32) + columns[k + 1] + 1 for k in range(0, LONGEST, 2)]
+    order = np.lexsort(packed[::-1])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([p[order][1:] != p[order][:-1] for p in packed], axis=0)
+    begin = np.flatnonzero(new)
+    return [c[order[begin]] for c in columns], np.diff(np.append(begin, len(order)))
+
+
+def counted_paths(docs: DataFrame, known) -> DataFrame:
+    """(lang, w1, ..., n): how often each path occurs; words are NULL from where it stops. ``known``: a broadcast filter."""
+    names = [f"w{k}" for k in range(1, LONGEST + 1)]
 
     def rows(run: list[tuple], words: list[bytes]) -> pa.RecordBatch:
         run = sorted(((path[0], *[words[i] if i >= 0 else b"" for i in path[1:]]), n) for path, n in run)
-        columns = [[path[0] for path, _ in run], *[[path[k].decode() or None for path, _ in run] for k in range(1, length + 1)]]
-        counts = [n for _, n in run]
-        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in columns], pa.array(counts, pa.int64())], ["lang", *names, "n"])
-
-    def with_words(run: list[tuple]) -> list[tuple]:
-        """Each word once for all its paths, in place of its paths that end."""
-        sums: dict[tuple, int] = {}
-        for (lang, first, _), n in run:
-            sums[lang, first, END] = sums.get((lang, first, END), 0) + n
-        return [*sums.items(), *((path, n) for path, n in run if path[2] != END)]
+        columns = list(zip(*(path for path, _ in run)))
+        arrays = [pa.array(columns[0], pa.string()), *[pa.array([w.decode() or None for w in c], pa.string()) for c in columns[1:]]]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([n for _, n in run], pa.int64())], ["lang", *names, "n"])
 
     def count(batches):
-        trie, ids = HatTrie(), Ids()
-        filtered = known.value if known is not None else None
-
-        def out(keep):
-            for run in trie.spill(keep):
-                yield rows(run if filtered is not None else with_words(run), ids.words)
-
-        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
-            texts: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                texts.setdefault(lang, []).append(text)
-            for lang, group in texts.items():
-                codes = np.fromiter(chain.from_iterable(numbers(t, ids) for t in group), dtype=np.int64)
-                if not len(codes):
-                    continue
-                if filtered is None:
-                    columns = steps(codes)
-                else:
-                    columns = chains(codes, lang, np.array(ids.hashes, dtype=np.uint64), filtered)
-                if not len(columns[0]):
-                    continue
-                # Ids are below 2^31: two fit one number.
-                packed = [(columns[k] << 32) + columns[k + 1] + 1 for k in range(0, length, 2)]
-                order = np.lexsort(packed[::-1])
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = np.any([p[order][1:] != p[order][:-1] for p in packed], axis=0)
-                begin = np.flatnonzero(new)
-                times = np.diff(np.append(begin, len(order))).tolist()
-                distinct = zip(*(c[order[begin]].tolist() for c in columns))
-                for path, n in zip(distinct, times):
-                    trie.add((lang, *path), n)
-                if len(ids) > NUMBERED:
-                    yield from out(0)
-                    ids = Ids()
-                elif trie.size > ENTRIES:
-                    yield from out(ENTRIES // 2)
-        yield from out(0)
+        trie, ids, filtered = HatTrie(), Ids(), known.value
+        for lang, codes in blocks(batches, ids):
+            if lang is None:
+                for run in trie.spill(0):
+                    yield rows(run, ids.words)
+                ids.start()
+                continue
+            if not len(codes):
+                continue
+            found, times = distinct_paths(chains(lang, codes, ids.hashes(), filtered))
+            for path, n in zip(zip(*(c.tolist() for c in found)), times.tolist()):
+                trie.add((lang, *path), n)
+            if trie.size > ENTRIES:
+                for run in trie.spill(ENTRIES // 2):
+                    yield rows(run, ids.words)
+        for run in trie.spill(0):
+            yield rows(run, ids.words)
 
     schema = ", ".join(["lang string", *[f"{w} string" for w in names], "n bigint"])
     return docs.mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
@@ -263,24 +285,16 @@ def joined(*parts: str) -> Column:
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of the phrases of 1 to ``LONGEST`` words found ``least`` times or more, and (lang, n)."""
-    spark = docs.sparkSession
-    short = counted_paths(docs, 2)
-    short = written(short.filter((F.col("n") >= least) | F.col("w2").isNull()), "pairs")
-    single, pairs = short.filter("w2 is null"), short.filter("w2 is not null")
-    known = spark.sparkContext.broadcast(pair_filter(pairs))
-    longer = written(counted_paths(docs, LONGEST, known), "paths")
+    known = docs.sparkSession.sparkContext.broadcast(pair_filter(docs, least))
+    paths = written(counted_paths(docs, known), "paths")
     known.unpersist()
-    three = longer.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
-    levels = [
-        single.select("lang", F.col("w1").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("f")),
-        pairs.select("lang", joined("w1", "w2").alias("phrase"), F.lit(2).alias("size"), F.col("n").alias("f")),
-        three.select("lang", joined("w1", "w2", "w3").alias("phrase"), F.lit(3).alias("size"), F.col("n").alias("f")),
-        longer.filter("w4 is not null").select("lang", joined("w1", "w2", "w3", "w4").alias("phrase"), F.lit(4).alias("size"), F.col("n").alias("f")),
-    ]
-    found = levels[0]
-    for level in levels[1:]:
-        found = found.unionByName(level)
-    return written(found.filter(F.col("f") >= least), "phrases"), single.groupBy("lang").agg(F.sum("n").alias("n"))
+    found = None
+    for size in range(1, LONGEST + 1):
+        names = [f"w{k}" for k in range(1, size + 1)]
+        level = paths.filter(F.col(names[-1]).isNotNull()).groupBy("lang", *names).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+        level = level.select("lang", joined(*names).alias("phrase"), F.lit(size).alias("size"), "f")
+        found = level if found is None else found.unionByName(level)
+    return written(found, "phrases"), paths.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def inside(phrase: str) -> Column:
