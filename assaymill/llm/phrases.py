@@ -26,11 +26,11 @@ from assaymill.operators.ordering import numbered
 _BYTES = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: Entries of a container before it bursts, of a trie before subtrees leave it, words numbered before the numbers start anew.
-BURST, ENTRIES, NUMBERED = 4096, 400_000, 300_000
+BURST, ENTRIES, NUMBERED = 4096, 200_000, 200_000
 #: Bits of the filter of frequent pairs, a power of two: 8 MB at any size of the input.
 BITS = 1 << 26
-#: Rows read at once, words worked on at once, hashes of pairs held before they are handed on.
-ROWS, TOKENS, PAIRS = 128, 400_000, 3_000_000
+#: Rows read at once, words worked on at once, hashes of pairs held before they are handed on, least rows handed on at once.
+ROWS, TOKENS, PAIRS, RUN = 128, 200_000, 1_000_000, 20_000
 END = -1
 
 
@@ -258,10 +258,20 @@ def counted_paths(docs: DataFrame, known) -> DataFrame:
 
     def count(batches):
         trie, ids, filtered = HatTrie(), Ids(), known.value
+
+        def out(keep: int):
+            run: list[tuple] = []
+            for subtree in trie.spill(keep):
+                run += subtree
+                if len(run) >= RUN:
+                    yield rows(run, ids.words)
+                    run = []
+            if run:
+                yield rows(run, ids.words)
+
         for lang, codes in blocks(batches, ids):
             if lang is None:
-                for run in trie.spill(0):
-                    yield rows(run, ids.words)
+                yield from out(0)
                 ids.start()
                 continue
             if not len(codes):
@@ -270,10 +280,8 @@ def counted_paths(docs: DataFrame, known) -> DataFrame:
             for path, n in zip(zip(*(c.tolist() for c in found)), times.tolist()):
                 trie.add((lang, *path), n)
             if trie.size > ENTRIES:
-                for run in trie.spill(ENTRIES // 2):
-                    yield rows(run, ids.words)
-        for run in trie.spill(0):
-            yield rows(run, ids.words)
+                yield from out(ENTRIES // 2)
+        yield from out(0)
 
     schema = ", ".join(["lang string", *[f"{w} string" for w in names], "n bigint"])
     return docs.mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
