@@ -5,24 +5,34 @@ of the graph "distance <= eps" and isolated samples are noise. Nothing below hol
 a series in one task:
 
 * samples with the same words are one node, so copies never form pairs;
-* candidate pairs come from a prefix filter: with words ordered from rare to common,
-  two vectors at cosine >= t share a word within the shortest prefixes whose rest
-  has a norm below t, so only prefix words are joined and no pair is missed;
+* eps rises in bands: a series that has its split is out of all later bands, so the wide
+  distances, which most pairs meet, are looked for only where nothing closer splits;
+* pairs come from a prefix filter: with words ordered from rare to common, two vectors at
+  cosine >= t share a word within prefixes whose rest has a norm below t. Products of the
+  shared prefix words are summed per pair, before the shuffle where they meet, and a pair
+  goes on to its full product only if the norms of what is left can bring it to t;
 * a word shared by many nodes is split over salted blocks;
+* of the pairs of two blocks of nodes only a spanning forest by level is kept, which has
+  the same components at every eps; what is searched for components is about as many
+  edges as nodes, not all pairs once for each eps;
 * components spread by smallest-label propagation with pointer jumping, one
   written cut per round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
-from assaymill.functions.similarity import sparse_dot
 from assaymill.functions.text import STOP_WORDS, words
 from assaymill.operators.ordering import numbered
 from assaymill.session import cut
 
-BLOCK = 2000
+#: Nodes of a salted block of a word, nodes of a block of a series whose pairs meet in one task.
+BLOCK, FOREST = 2000, 1000
+#: What a prefix leaves has a norm below this share of the least cosine; lower means longer prefixes and fewer full products.
+REACH = 0.8
+BANDS = 3
 
 
 def with_both_types(df: DataFrame) -> DataFrame:
@@ -48,8 +58,8 @@ def sample_nodes(bags: DataFrame) -> DataFrame:
     )
 
 
-def node_vectors(nodes: DataFrame, least_cosine: float) -> DataFrame:
-    """Unit TF-IDF vector of each node and the prefix of its rarest words to be joined on."""
+def node_vectors(nodes: DataFrame) -> DataFrame:
+    """Unit TF-IDF vector of each node, from its rarest word to its most common one."""
     size = F.col("n_ctrl") + F.col("n_pert")
     terms = (
         nodes.select("gse", "node", size.alias("size"), F.explode("tokens").alias("token"))
@@ -59,7 +69,7 @@ def node_vectors(nodes: DataFrame, least_cosine: float) -> DataFrame:
     spread = terms.groupBy("gse", "token").agg(F.sum("size").alias("df"))
     totals = nodes.groupBy("gse").agg(F.sum(size).alias("n"))
     weight = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
-    entries = (
+    return (
         terms.join(spread, ["gse", "token"])
         .join(totals, "gse")
         .groupBy("gse", "node")
@@ -72,55 +82,105 @@ def node_vectors(nodes: DataFrame, least_cosine: float) -> DataFrame:
             F.transform("v", lambda x: x["w"] / F.col("norm")).alias("weights"),
         )
     )
-    tail = F.aggregate(
+
+
+def prefixes(vectors: DataFrame, least_cosine: float) -> DataFrame:
+    """(gse, id, node, w, tail): the rarest words of each vector and the norm of what they leave."""
+    rest = F.aggregate(
         F.reverse("weights"),
-        F.struct(F.lit(0.0).alias("mass"), F.lit(0).alias("dropped")),
+        F.struct(F.lit(0.0).alias("mass"), F.lit(0.0).alias("tail"), F.lit(0).alias("dropped")),
         lambda acc, w: F.struct(
             (acc["mass"] + w * w).alias("mass"),
-            (acc["dropped"] + F.when(acc["mass"] + w * w < least_cosine**2, 1).otherwise(0)).alias("dropped"),
+            F.when(acc["mass"] + w * w < (REACH * least_cosine) ** 2, acc["mass"] + w * w).otherwise(acc["tail"]).alias("tail"),
+            (acc["dropped"] + F.when(acc["mass"] + w * w < (REACH * least_cosine) ** 2, 1).otherwise(0)).alias("dropped"),
         ),
-    )["dropped"]
-    return entries.withColumn("prefix", F.slice("ids", F.lit(1), F.size("ids") - tail))
+    )
+    ended = vectors.select("gse", "node", "ids", "weights", rest.alias("_r"))
+    head = F.slice(F.arrays_zip("ids", "weights"), F.lit(1), F.size("ids") - F.col("_r.dropped"))
+    found = ended.select("gse", "node", F.sqrt("_r.tail").alias("tail"), F.explode(head).alias("_e"))
+    return found.select("gse", F.col("_e.ids").alias("id"), "node", F.col("_e.weights").alias("w"), "tail")
 
 
-def candidate_pairs(vectors: DataFrame) -> DataFrame:
-    """Distinct (gse, a, b) that share a prefix word."""
-    entries = vectors.select("gse", "node", F.explode("prefix").alias("id"))
+def candidate_pairs(vectors: DataFrame, least_cosine: float) -> DataFrame:
+    """Distinct (gse, a, b) whose shared prefix words, with the norms of the rest, allow ``least_cosine``."""
+    entries = prefixes(vectors, least_cosine)
     blocks = (
         entries.groupBy("gse", "id").count().filter("count > 1")
         .select("gse", "id", F.ceil(F.col("count") / BLOCK).cast("int").alias("salts"))
     )
     placed = entries.join(blocks, ["gse", "id"])
     left = placed.select(
-        "gse", "id", F.col("node").alias("a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+        "gse", "id", F.col("node").alias("a"), F.col("w").alias("wa"), F.col("tail").alias("ta"),
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
     )
     right = placed.select(
-        "gse", "id", F.col("node").alias("b"), F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt")
+        "gse", "id", F.col("node").alias("b"), F.col("w").alias("wb"), F.col("tail").alias("tb"),
+        F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"),
     )
-    return left.join(right, ["gse", "id", "salt"]).filter("a < b").select("gse", "a", "b").distinct()
+    sums = (
+        left.join(right, ["gse", "id", "salt"]).filter("a < b").groupBy("gse", "a", "b").agg(
+            F.sum(F.col("wa") * F.col("wb")).alias("met"), F.sum(F.col("wa") * F.col("wa")).alias("ma"),
+            F.sum(F.col("wb") * F.col("wb")).alias("mb"), F.max("ta").alias("ta"), F.max("tb").alias("tb"),
+        )
+    )
+    # Beyond the prefix that ends first, one side has its tail and the other at most what it did not meet with.
+    left_of = lambda mass: F.sqrt(F.greatest(1 - F.col(mass), F.lit(0.0)))
+    most = F.col("met") + F.greatest(F.col("ta") * left_of("mb"), F.col("tb") * left_of("ma"))
+    return sums.filter(most > least_cosine - 1e-9).select("gse", "a", "b")
 
 
-def close_pairs(vectors: DataFrame, eps_from: float, steps: int, step: float) -> DataFrame:
-    """(gse, a, b, level): the first of the eps values, counted from 0, that joins a pair."""
+def close_pairs(vectors: DataFrame, eps_from: float, last: int, step: float) -> DataFrame:
+    """(gse, a, b, level): the first of the eps values, counted from 0, that joins a pair, up to level ``last``."""
+    widest = eps_from + last * step
 
     def side(name: str) -> DataFrame:
-        return vectors.select(
-            "gse", F.col("node").alias(name), F.col("ids").alias(f"ids_{name}"), F.col("weights").alias(f"w_{name}")
-        )
+        return vectors.select("gse", F.col("node").alias(name), F.map_from_arrays("ids", "weights").alias(f"v_{name}"))
 
-    dot = sparse_dot(F.col("ids_a"), F.col("w_a"), F.col("ids_b"), F.col("w_b"))
+    products = F.map_zip_with("v_a", "v_b", lambda _, x, y: x * y)
+    dot = F.aggregate(F.map_values(products), F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0)))
     distance = F.round(F.sqrt(F.greatest(2 - 2 * dot, F.lit(0.0))), 9)
     level = F.greatest(F.ceil(F.round((F.col("d") - eps_from) / step, 7)).cast("int"), F.lit(0))
     return (
-        candidate_pairs(vectors)
+        candidate_pairs(vectors, 1 - widest**2 / 2 - 1e-6)
         .join(side("a"), ["gse", "a"])
         .join(side("b"), ["gse", "b"])
         .select("gse", "a", "b", distance.alias("d"))
         .select("gse", "a", "b", level.alias("level"))
-        .filter(F.col("level") < steps)
+        .filter(F.col("level") <= last)
     )
 
 
+def spanning_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with the components of all of ``edges`` (gse, a, b, level) at every level.
+
+    The nodes of a series lie in blocks; of the edges between two blocks a minimum
+    spanning forest is kept. An edge that is the last of a cycle of edges of no higher
+    level joins nothing, so what a forest leaves out is needed at no level.
+    """
+    sizes = nodes.groupBy("gse").agg(F.ceil(F.count(F.lit(1)) / FOREST).cast("int").alias("_blocks"))
+    block = lambda name: F.pmod(F.xxhash64(name), F.col("_blocks")).cast("int")
+    placed = edges.join(sizes, "gse").withColumns({"_i": block("a"), "_j": block("b")})
+    placed = placed.select("gse", "a", "b", "level", F.least("_i", "_j").alias("_low"), F.greatest("_i", "_j").alias("_high"))
+
+    def forest(key, frame):
+        frame = frame.sort_values("level", kind="stable")
+        parent: dict = {}
+
+        def root(n):
+            while (up := parent.setdefault(n, n)) != n:
+                parent[n] = n = parent.setdefault(up, up)
+            return n
+
+        keep = []
+        for a, b in zip(frame["a"].tolist(), frame["b"].tolist()):
+            ra, rb = root(a), root(b)
+            keep.append(ra != rb)
+            parent[ra] = rb
+        return frame.loc[pd.Series(keep, index=frame.index, dtype=bool), ["gse", "a", "b", "level"]]
+
+    return placed.groupBy("gse", "_low", "_high").applyInPandas(forest, edges.schema)
+
+
 def components(edges: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, node, label) with the smallest node of its component for every node of ``edges`` (a, b)."""
     both = cut(
@@ -164,15 +224,38 @@ def cluster_samples(
     steps = round((eps_to - eps_from) / step) + 1
     bags = word_bags(df.select("gse", "gsm", "text", "type"), stop)
     nodes = cut(sample_nodes(bags))
-    vectors = cut(node_vectors(nodes, 1 - eps_to**2 / 2 - 1e-6))
-    edges = close_pairs(vectors, eps_from, steps, step).withColumn(
-        "level", F.explode(F.sequence(F.col("level"), F.lit(steps - 1)))
+    vectors = cut(node_vectors(nodes))
+    ends = sorted({round(steps * (k + 1) / BANDS) - 1 for k in range(BANDS)} - {-1})
+    chosen, first = None, 0
+    for last in ends:
+        if chosen is not None:
+            nodes_left = cut(nodes_left.join(chosen.select("gse").distinct(), "gse", "left_anti"))
+            vectors = vectors.join(chosen.select("gse").distinct(), "gse", "left_anti")
+            if nodes_left.isEmpty():
+                break
+        else:
+            nodes_left = nodes
+        found = split_series(nodes_left, vectors, eps_from, first, last, step)
+        chosen = found if chosen is None else cut(chosen.unionByName(found))
+        first = last + 1
+    names = numbered(
+        chosen.filter("label is not null").select("gse", "label").distinct(), ["gse"], [F.col("label")]
+    ).select("gse", "label", (F.col("rn") - 1).alias("cluster"))
+    node_clusters = chosen.join(names, ["gse", "label"], "left").select(
+        "gse", "node", F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"),
+        F.round(eps_from + F.col("level") * step, 9).alias("eps"),
     )
+    bag_clusters = nodes.select("gse", "bag", "node").join(node_clusters, ["gse", "node"]).drop("node")
+    return bags.join(bag_clusters, ["gse", "bag"]).select("gse", "gsm", "text", "type", "cluster", "eps")
+
+
+def split_series(nodes: DataFrame, vectors: DataFrame, eps_from: float, first: int, last: int, step: float) -> DataFrame:
+    """(gse, level, node, label) of the series with an accepted split at a level from ``first`` to ``last``, at the lowest such."""
+    edges = spanning_edges(close_pairs(vectors, eps_from, last, step), nodes)
+    edges = edges.withColumn("level", F.explode(F.sequence(F.greatest("level", F.lit(first)), F.lit(last))))
     labels = components(edges, ["gse", "level"])
-    levels = nodes.select(
-        "gse", "node", "n_ctrl", "n_pert", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("level")
-    )
     alone = F.when(F.col("n_ctrl") + F.col("n_pert") > 1, F.col("node"))
+    levels = nodes.select("gse", "node", "n_ctrl", "n_pert", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("level"))
     labelled = levels.join(labels, ["gse", "level", "node"], "left").withColumn("label", F.coalesce("label", alone))
     clusters = labelled.groupBy("gse", "level", "label").agg(
         F.sum("n_ctrl").alias("n_ctrl"), F.sum("n_pert").alias("n_pert")
@@ -186,13 +269,4 @@ def cluster_samples(
         .groupBy("gse")
         .agg(F.min("level").alias("level"))
     )
-    chosen = cut(labelled.join(accepted, ["gse", "level"]).select("gse", "level", "node", "label"))
-    names = numbered(
-        chosen.filter("label is not null").select("gse", "label").distinct(), ["gse"], [F.col("label")]
-    ).select("gse", "label", (F.col("rn") - 1).alias("cluster"))
-    node_clusters = chosen.join(names, ["gse", "label"], "left").select(
-        "gse", "node", F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"),
-        F.round(eps_from + F.col("level") * step, 9).alias("eps"),
-    )
-    bag_clusters = nodes.select("gse", "bag", "node").join(node_clusters, ["gse", "node"]).drop("node")
-    return bags.join(bag_clusters, ["gse", "bag"]).select("gse", "gsm", "text", "type", "cluster", "eps")
+    return cut(labelled.join(accepted, ["gse", "level"]).select("gse", "level", "node", "label"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
 
 from assaymill.functions.text import STOP_WORDS
@@ -98,33 +99,72 @@ def chi2_top_k(t: Tables):
     return features.chi2_top_k(weights(t), labels, "doc_id", 100).withColumn("chi2", r6("chi2"))
 
 
-@query("hashed")
+def murmur_sql(token: str, n: int) -> str:
+    """Bucket of a token: its 32-bit murmur3 hash with seed 42, modulo n, a power of two."""
+    mask = "4294967295::hugeint"
+    turn = lambda x, k: f"((({x} << {k}) | ({x} >> {32 - k})) & {mask})"
+    mix = lambda k: turn_of(f"({k} * 3432918353::hugeint) & {mask}")
+
+    def turn_of(product: str) -> str:
+        return f"(list_transform([{product}], lambda p: ({turn('p', 15)} * 461845907::hugeint) & {mask})[1])"
+
+    code, size = f"hex(encode({token}))", f"(length(hex(encode({token}))) // 2)"
+    byte = lambda at: f"coalesce(try_cast('0x' || substr({code}, 2 * ({at}) + 1, 2) as int), 0)::hugeint"
+    word = lambda at: f"({byte(at)} + ({byte(f'{at} + 1')} << 8) + ({byte(f'{at} + 2')} << 16) + ({byte(f'{at} + 3')} << 24))"
+    words = f"list_transform(range(0, {size} // 4), lambda i: {word('4 * i')})"
+    body = f"list_reduce(list_prepend(42::hugeint, {words}), lambda h, k: list_transform([xor(h, {mix('k')})], lambda x: ({turn('x', 13)} * 5 + 3864292196::hugeint) & {mask})[1])"
+    last = f"xor({body}, case when {size} % 4 > 0 then {mix(word(f'4 * ({size} // 4)'))} else 0::hugeint end)"
+    steps = [
+        f"xor({last}, {size}::hugeint)", f"(xor(@, @ >> 16) * 2246822507::hugeint) & {mask}",
+        f"(xor(@, @ >> 13) * 3266489909::hugeint) & {mask}", "xor(@, @ >> 16)",
+    ]
+    value = steps[0]
+    for step in steps[1:]:
+        value = f"list_transform([{value}], lambda y: {step.replace('@', 'y')})[1]"
+    return f"({value} % {n})::int"
+
+
+@query("hashed", f"""with {WORDS_SQL},
+    words as (select distinct unnest(w) token from ws), buckets as materialized (select token, {murmur_sql('token', 1 << 16)} bucket from words),
+    tf as (select doc_id, bucket, count(*) tf from (select doc_id, unnest(w) token from ws) join buckets using (token) group by all)
+    select doc_id, bucket, round(tf / sqrt(sum(tf * tf) over (partition by doc_id)), 6) + 0.0 weight from tf""")
 def hashed(t: Tables):
-    rows = features.hashed_features().transform(labelled(t))
-    norm = F.udf(lambda v: float(v.norm(2)), "double")
-    return rows.select("doc_id", F.size("terms").alias("n_terms"), r6(norm("features")).alias("norm"))
+    rows = features.hashed_features().transform(labelled(t)).select("doc_id", "features")
+
+    def entries(batches):
+        for batch in batches:
+            v = batch.column("features")
+            sizes = [len(x) for x in v.field("indices").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column("doc_id").to_numpy(), sizes)), v.field("indices").flatten(), v.field("values").flatten()],
+                ["doc_id", "bucket", "weight"],
+            )
+
+    return rows.mapInArrow(entries, "doc_id bigint, bucket int, weight double").withColumn("weight", r6("weight"))
 
 
 @query("l1_select")
 def l1_select(t: Tables):
+    """The terms that the L1 model keeps."""
     rows = labelled(t)
-    ready = cut(features.fit_features(rows, max_df=0.5, sublinear=True).transform(rows).select("doc_id", "features", "label"))
-    chosen = features.l1_select(ready).transform(ready)
-    size = F.udf(lambda v: int(v.numNonzeros()), "int")
-    width = F.udf(lambda v: int(v.size), "int")
-    return chosen.select("doc_id", width("selected").alias("width"), size("selected").alias("non_zero"))
+    fitted = features.fit_features(rows, max_df=0.5, sublinear=True)
+    chosen = features.l1_select(fitted.transform(rows).select("features", "label"))
+    vocabulary = [s for s in fitted.stages if hasattr(s, "vocabulary")][0].vocabulary
+    return t.spark.createDataFrame([(vocabulary[i],) for i in chosen.getIndices()], "term string")
 
 
 @query("classifier_bench")
 def classifier_bench(t: Tables):
+    """All classifiers at their published sizes, on the terms that the L1 model keeps."""
     train, test = sides(t)
     fitted = features.fit_features(train, max_df=0.5, sublinear=True)
-    ready = PipelineModel([*fitted.stages, features.chi2_slicer(train, fitted, "doc_id", 200)])
+    slicer = features.l1_select(cut(fitted.transform(train).select("features", "label")))
+    ready = PipelineModel([*fitted.stages, slicer])
 
     def vectors(df):
         return ready.transform(df).select(F.col("selected").alias("features"), "label")
 
-    result = models.bench(vectors(train), vectors(test), models.classifiers(trees=10, boosts=5, rounds=10))
+    result = models.bench(vectors(train), vectors(test), models.classifiers())
     return result.select("clf", *[r6(c).alias(c) for c in ("f1_scores", "precisions", "recalls")])
 
 
@@ -180,15 +220,14 @@ def verdict_flags(t: Tables):
     return models.verdict(t.series, model, model, 1.0).select("gse", "is_pert_title", "is_pert_summary")
 
 
-@query("top_terms")
+@query("top_terms", f"""with {BAYES_SQL}
+    select c::bigint as class, r::int as rank, token term, round(th, 6) + 0.0 coefficient
+    from (select *, row_number() over (partition by c order by round(th, 9) desc, token) r from theta) where r <= 10""")
 def top_terms(t: Tables):
-    rows = labelled(t)
-    fitted = features.fit_features(rows, max_df=0.5, sublinear=True)
-    model = LogisticRegression(regParam=0.01, maxIter=30).fit(fitted.transform(rows).select("features", "label"))
-    vocabulary = [s for s in fitted.stages if hasattr(s, "vocabulary")][0].vocabulary
-    weight = model.coefficientMatrix.toArray()
-    per_class = np.vstack([-weight, weight]) if len(weight) == 1 else weight
-    return models.top_terms(t.spark, per_class, vocabulary).select("class", "rank", "term", r6("coefficient").alias("coefficient"))
+    weights = features.tfidf(tokenised(t), "doc_id", max_df=0.5)
+    found = models.multinomial_coefficients(weights, labelled(t).select("doc_id", "label"), "doc_id")
+    best = models.top_terms(found.withColumn("coefficient", F.round("coefficient", 9)))
+    return best.select("class", "rank", "term", r6("coefficient").alias("coefficient"))
 
 
 CELLS_SQL = """

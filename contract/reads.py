@@ -184,44 +184,79 @@ def length_filter(t: Tables):
     return kept.select("file", "record_no", big(F.length("seq")).alias("n1"), big(F.length("mate.seq")).alias("n2"))
 
 
-@query("complexity_filter", """
-    with w as (select file, read_no, s, substr(seq, s * 32 + 1, 64) piece
-               from (select *, unnest(range(greatest(floor((length(seq) - 33) / 32.0), 0)::int + 1)) s from px_reads)),
+ADAPTERS = ("AGATGTGTATAAGAGACAG", "TCGTCGGCAGCGTCAGATGTGTATAAGAGACAG", "CTGTCTCTTATACACATCTGACGCTGCCGACGA",
+            "GTCTCGTGGGCTCGGAGATGTGTATAAGAGACAG", "CTGTCTCTTATACACATCTCCGAGCCCACGAGAC")
+
+
+def whole_clips(source: str, mismatches: int) -> str:
+    """First place of each whole adapter that differs in at most ``mismatches`` bases."""
+    return " union all ".join(
+        f"select file, read_no, list_filter(range(1, length(seq) - {len(a) - 2}),"
+        f" lambda i: hamming(substr(seq, i, {len(a)}), '{a}') <= {mismatches})[1] cut_at from {source} where length(seq) >= {len(a)}"
+        for a in ADAPTERS)
+
+
+def partial_clips(source: str, rate: float) -> str:
+    """First place of each adapter, which may run over the end, that differs in at most ``rate`` of its bases."""
+    return " union all ".join(
+        f"select file, read_no, list_filter(range(1, length(seq) + 1), lambda i: hamming(substr(seq, i, {len(a)}),"
+        f" substr('{a}', 1, least({len(a)}, length(seq) - i + 1))) <= floor(least({len(a)}, length(seq) - i + 1) * {rate}::double))[1] cut_at"
+        f" from {source} where length(seq) > 0"
+        for a in ADAPTERS)
+
+
+def clipped_sql(source: str, clips: str) -> str:
+    """Rows of ``source`` cut before the first of ``clips``."""
+    return f"""select file, read_no, case when cut_at is null then seq else substr(seq, 1, cut_at - 1) end seq,
+           case when cut_at is null then qual else substr(qual, 1, cut_at - 1) end qual
+    from {source} left join (select file, read_no, min(cut_at) cut_at from ({clips}) group by all) using (file, read_no)"""
+
+
+COMPLEXITY_SQL = """
+    w as (select file, read_no, s, substr(seq, s * 32 + 1, 64) piece
+               from (select *, unnest(range(greatest(floor((length(seq) - 33) / 32.0), 0)::int + 1)) s from {source})),
          k as (select file, read_no, s, kmer, count(*) c, any_value(greatest(length(piece) - 2, 1)) n
                from (select *, unnest(list_transform(range(1, greatest(length(piece) - 2, 1) + 1), lambda i: substr(piece, i, 3))) kmer
                      from w) group by all),
          e as (select file, read_no, s, case when any_value(n) > 1
                       then -sum((c / n) * ln(c / n)) / ln(least(64, any_value(n))) * 100 else 0.0 end h
-               from k group by all)
+               from k group by all)"""
+
+
+@query("complexity_filter", f"""with {COMPLEXITY_SQL.format(source='px_reads')}
     select file, read_no, round(avg(h), 6) + 0.0 score from e group by all having round(avg(h), 9) >= 65""")
 def complexity_filter(t: Tables):
     kept = ops.with_complexity(t.reads).filter(F.round("complexity", 9) >= 65)
     return kept.select("file", "read_no", r6("complexity").alias("score"))
 
 
-CLIP_SQL = " union all ".join(
-    f"select file, read_no, list_filter(range(1, length(seq) - {len(a) - 2}),"
-    f" lambda i: hamming(substr(seq, i, {len(a)}), '{a}') <= 9)[1] cut_at from px_reads where length(seq) >= {len(a)}"
-    for a in ("AGATGTGTATAAGAGACAG", "TCGTCGGCAGCGTCAGATGTGTATAAGAGACAG", "CTGTCTCTTATACACATCTGACGCTGCCGACGA",
-              "GTCTCGTGGGCTCGGAGATGTGTATAAGAGACAG", "CTGTCTCTTATACACATCTCCGAGCCCACGAGAC"))
-
-
-@query("adapter_clip", f"""
-    with h as (select file, read_no, min(cut_at) cut_at from ({CLIP_SQL}) group by all)
-    select file, read_no, case when cut_at is null then seq else substr(seq, 1, cut_at - 1) end seq,
-           case when cut_at is null then qual else substr(qual, 1, cut_at - 1) end qual
-    from px_reads left join h using (file, read_no)""")
+@query("adapter_clip", clipped_sql("px_reads", whole_clips("px_reads", 9)))
 def adapter_clip(t: Tables):
     return ops.clip_adapters(t.reads.drop("id"), mismatches=9)
 
 
-@query("prepared_reads")
+@query("adapter_clip_partial", clipped_sql("px_reads", partial_clips("px_reads", 0.15)))
+def adapter_clip_partial(t: Tables):
+    return ops.clip_adapters(t.reads.drop("id"), error_rate=0.15, min_overlap=1)
+
+
+@query("prepared_reads", f"""
+    with clipped as ({clipped_sql("px_reads", whole_clips("px_reads", 2))}), {TRIM_SQL.replace("from px_reads", "from clipped").strip().removeprefix("with ")},
+         kept as (select *, read_no // 2 k from trimmed where length(seq) >= 36)
+    select a.file, a.k record_no, '@' || a.file || '.' || a.k || ' 1:N' id, a.seq, a.qual,
+           '@' || a.file || '.' || a.k || ' 2:N' mate_id, b.seq mate_seq, b.qual mate_qual
+    from kept a join kept b on b.file = a.file and b.k = a.k where a.read_no % 2 = 0 and b.read_no % 2 = 1""")
 def prepared_reads(t: Tables):
     """Both sides of each pair through the window recipe, then re-joined."""
     pairs = ops.zip_mates(mate(t, 1, "read_no div 2"), mate(t, 2, "read_no div 2"))
     return flat(both_mates(pairs, window_recipe()))
 
 
-@query("entropy_prepared_reads")
+@query("entropy_prepared_reads", f"""
+    with ended as (select file, read_no, id, substr(seq, 11, length(q)) seq, q qual from (select *, rtrim(substr(qual, 11), {LOW25}) q from px_reads)),
+         long as (select * from ended where length(seq) >= 30), {COMPLEXITY_SQL.format(source='long').strip()},
+         rich as (select long.* from long join (select file, read_no from e group by all having round(avg(h), 9) >= 65) using (file, read_no)),
+         cut as ({clipped_sql("rich", partial_clips("rich", 0.15))})
+    select file, read_no, id, cut.seq, cut.qual from cut join rich using (file, read_no) where length(cut.seq) >= 30""")
 def entropy_prepared_reads(t: Tables):
     return prepare_reads(t.reads, entropy_recipe())
