@@ -20,8 +20,8 @@ from assaymill.llm.common import plain
 from assaymill.llm.pieces import Pieces
 
 _WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
-#: Nodes a trie may have before it starts anew.
-NODES = 300_000
+#: Nodes a trie may have before it starts anew; terminal counts kept, twice at most, also beyond that.
+NODES, WORDS = 300_000, 400_000
 
 
 def log_probabilities(n: int) -> list[float]:
@@ -38,6 +38,30 @@ def endings(vocabulary: list[bytes]) -> dict[bytes, list[int]]:
     return {end: sorted(sizes, reverse=True) for end, sizes in found.items()}
 
 
+class Terminals(dict):
+    """Word -> number of pieces, read off the trie where it is new.
+
+    Counts outlive the nodes of the trie. Words met again since the last ``age`` outlive
+    that as well, so common words are inserted once.
+    """
+
+    def __init__(self, trie: Trie):
+        self.trie = trie
+        self.older: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> int:
+        found = self.older.get(word)
+        if found is None:
+            found = self.trie.pieces[self.trie.insert(b" " + word.encode())]
+        self[word] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > WORDS:
+            self.older = dict(self)
+            self.clear()
+
+
 class Trie:
     """Prefixes of pre-tokens, each with the best score of its segmentations and their pieces."""
 
@@ -47,17 +71,15 @@ class Trie:
         self.logs = log_probabilities(len(vocabulary))
         self.clear()
 
+        self.terminal = Terminals(self)
+
     def clear(self) -> None:
         self.children: dict[int, int] = {}
         self.best, self.pieces = [0.0], [0]
-        self.terminal: dict[str, int] = {}
 
     def count(self, word: str) -> int:
         """Number of pieces of the pre-token of ``word``; of equal segmentations the one with the fewest."""
-        found = self.terminal.get(word)
-        if found is None:
-            found = self.terminal[word] = self.pieces[self.insert(b" " + word.encode())]
-        return found
+        return self.terminal[word]
 
     def insert(self, text: bytes) -> int:
         """The node of ``text``; nodes that it lacks are made and scored."""
@@ -92,7 +114,7 @@ def token_counts(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
 
     Words are runs without ASCII white space, in whole texts. A null or empty text has no
     tokens. Rows that repeat a doc_id, or have none, are counted one by one. Each task
-    keeps a trie of its own, so no text is moved.
+    keeps a trie of its own, so no text is moved. An empty table gives no rows.
     """
 
     def run(batches):
@@ -102,7 +124,8 @@ def token_counts(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
             for text in batch.column("text"):
                 found = _WORD.findall(text.as_py())
                 sizes.append(len(found))
-                tokens.append(sum(map(trie.count, found)))
+                tokens.append(sum(map(trie.terminal.__getitem__, found)))
+                trie.terminal.age()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.array(sizes, dtype=np.int64)), pa.array(np.array(tokens, dtype=np.int64))],
                 ["doc_id", "n_pretokens", "n_tokens"],
