@@ -28,6 +28,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,8 +36,8 @@ from assaymill.llm.common import plain, written
 
 LENGTH, GRAM = 50, 16
 BUCKET = 1 << 25
-#: Bytes of text worked on at once.
-SLICE = 1 << 21
+#: Bytes of text worked on at once, and settled together before they travel.
+SLICE, GROUP = 1 << 21, 1 << 23
 
 U = np.uint64
 _OFFSETS = [*range(0, LENGTH - 7, 8), LENGTH - 8]
@@ -169,59 +170,65 @@ def _goes(row: np.ndarray, start: np.ndarray, count: np.ndarray, buckets: int, s
     return pack(to if sign > 0 else -1 - to, 1, none, none.astype(U), row, row, start, count)
 
 
-def slices(texts: list[bytes]):
-    """(first, last) of stretches of ``texts`` of about ``SLICE`` bytes."""
+def slices(sizes: np.ndarray):
+    """(first, last) of stretches of texts of about ``SLICE`` bytes."""
     begin, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
+    for i, n in enumerate(sizes.tolist()):
+        size += n
         if size >= SLICE:
             yield begin, i + 1
             begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def anchored(texts: DataFrame, buckets: int) -> DataFrame:
-    """Packed runs of (doc_id, row, text), one batch at a time.
+    """Packed runs of (doc_id, row, text), about ``GROUP`` bytes of text at a time.
 
-    An equal run in a smaller document of the batch settles a run here. An anchor with
-    different runs in the batch is known to be shared: its runs pass the reducer by, and
-    one of them goes there to tell the other batches.
+    An equal run in a smaller document of the group settles a run here. An anchor with
+    different runs in the group is known to be shared: its runs pass the reducer by, and
+    one of them goes there to tell the other groups.
     """
 
     def run(batches):
         for batch in batches:
-            texts = [t.as_py().encode() for t in batch.column("text")]
-            ids, rows = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
-            parts = []
-            for a, b in slices(texts):
-                text, *more = runs(texts[a:b])
-                parts.append((text + a, *more))
-            if not parts:
-                continue
-            text, start, count, h, c = (np.concatenate(v) for v in zip(*parts))
-            doc, row = ids[text], rows[text]
-            order, _, least = firsts([h, c], doc)
-            gone = doc[order] > least
-            at = order[gone]
-            out = _goes(row[at], start[at], count[at], buckets, -1)
-            at = order[~gone]
-            doc, row, start, count, h, c = (v[at] for v in (doc, row, start, count, h, c))
-            # In anchor order: does the anchor have runs of two documents here?
-            new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.array([], dtype=bool)
-            begin = np.flatnonzero(new)
-            shared = np.zeros(len(h), dtype=bool)
-            if len(h):
-                block = np.cumsum(new) - 1
-                shared = (np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin))[block]
-            s = shared
-            to = -1 - np.mod(row[s], buckets)
-            out += pack(to, 0, h[s] & U(0xFFFFFFFF), c[s] * U(0), doc[s], row[s], start[s], count[s])
-            told = np.where(shared, U(0), c)  # no run has content 0 but by a chance of 2^-64, which only costs a look
-            send = ~shared | new
-            to = ((h >> U(32)) % U(buckets)).astype(np.int64)[send]
-            out += pack(to, 0, (h & U(0xFFFFFFFF))[send], told[send], doc[send], row[send], start[send], count[send])
-            yield pa.RecordBatch.from_pandas(_frame(out).astype({"bucket": "int64", "kind": "int32"}), schema=_SCHEMA, preserve_index=False)
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            parts, held = [], 0
+            for a, b in slices(sizes):
+                found = runs([t.encode() for t in batch.column("text").slice(a, b - a).to_pylist()])
+                parts.append((found[0] + a, *found[1:]))
+                held += int(sizes[a:b].sum())
+                if held >= GROUP:
+                    yield settled(batch, parts)
+                    parts, held = [], 0
+            if parts:
+                yield settled(batch, parts)
+
+    def settled(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
+        ids, rows = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
+        text, start, count, h, c = (np.concatenate(v) for v in zip(*parts))
+        doc, row = ids[text], rows[text]
+        order, _, least = firsts([h, c], doc)
+        gone = doc[order] > least
+        at = order[gone]
+        out = _goes(row[at], start[at], count[at], buckets, -1)
+        at = order[~gone]
+        doc, row, start, count, h, c = (v[at] for v in (doc, row, start, count, h, c))
+        # In anchor order: does the anchor have runs of two documents here?
+        new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.array([], dtype=bool)
+        begin = np.flatnonzero(new)
+        shared = np.zeros(len(h), dtype=bool)
+        if len(h):
+            block = np.cumsum(new) - 1
+            shared = (np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin))[block]
+        s = shared
+        to = -1 - np.mod(row[s], buckets)
+        out += pack(to, 0, h[s] & U(0xFFFFFFFF), c[s] * U(0), doc[s], row[s], start[s], count[s])
+        told = np.where(shared, U(0), c)  # no run has content 0 but by a chance of 2^-64, which only costs a look
+        send = ~shared | new
+        to = ((h >> U(32)) % U(buckets)).astype(np.int64)[send]
+        out += pack(to, 0, (h & U(0xFFFFFFFF))[send], told[send], doc[send], row[send], start[send], count[send])
+        return pa.RecordBatch.from_pandas(_frame(out).astype({"bucket": "int64", "kind": "int32"}), schema=_SCHEMA, preserve_index=False)
 
     return texts.select("doc_id", "row", "text").mapInArrow(run, PACKED)
 
