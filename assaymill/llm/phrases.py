@@ -6,10 +6,10 @@ bursts into a level of smaller ones. When the trie is full its largest subtrees
 whole, as runs sorted by their words, and Spark merges the runs of all tasks by path. A
 phrase counts as the prefix of all paths that begin with it.
 
-A path goes on only along pairs of words that may be frequent, as all pairs within a
-frequent phrase are. A first pass counts hashes of pairs to find these; tasks look them up
-in a filter of a fixed number of bits. A false hit costs a row, no frequent phrase is
-missed, and what is counted are words, never hashes.
+A path begins with a word and goes on along pairs of words that may be frequent, as all
+words and pairs within a frequent phrase are. A first pass counts hashes of words and pairs
+to find these; tasks look them up in a filter of a fixed number of bits. A false hit costs
+a row, no frequent phrase is missed, and what is counted are words, never hashes.
 """
 
 from __future__ import annotations
@@ -174,6 +174,11 @@ def pairs_of(lang: str, codes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarr
     return here, pair_hash(lang, hashes[codes[here]], hashes[codes[here + 1]])
 
 
+def word_hash(lang: str, hashes: np.ndarray) -> np.ndarray:
+    """64-bit hash of words, given by their hashes, apart from that of any pair."""
+    return pair_hash(lang, hashes ^ np.uint64(0x5851F42D4C957F2D), np.zeros(1, dtype=np.uint64))
+
+
 class Filter:
     """A set of hashes in a fixed number of bits, two for each."""
 
@@ -188,8 +193,8 @@ class Filter:
         return found
 
 
-def pair_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
-    """Filter of the pairs whose hash occurs ``least`` times. The driver sees at most bits / 64 numbers."""
+def frequent_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
+    """Filter of the words and pairs whose hash occurs ``least`` times. The driver sees at most bits / 64 numbers."""
 
     def count(batches):
         ids, held, size = Ids(), [], 0
@@ -202,8 +207,9 @@ def pair_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
             if lang is None:
                 ids.start()
                 continue
-            held.append(pairs_of(lang, codes, ids.hashes())[1])
-            size += len(held[-1])
+            hashes = ids.hashes()
+            held += [pairs_of(lang, codes, hashes)[1], word_hash(lang, hashes[codes[codes >= 0]])]
+            size += 2 * len(codes)
             if size > PAIRS:
                 yield out()
                 held, size = [], 0
@@ -221,11 +227,12 @@ def pair_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
 
 
 def chains(lang: str, codes: np.ndarray, hashes: np.ndarray, known: Filter) -> tuple[np.ndarray, ...]:
-    """A path of ``LONGEST`` ids from each word, along pairs that ``known`` has; ``END`` from where it stops."""
+    """A path of ``LONGEST`` ids from each word that ``known`` has, along pairs that it has; ``END`` from where it stops."""
     here, pairs = pairs_of(lang, codes, hashes)
     good = np.zeros(len(codes) + LONGEST, dtype=bool)
     good[here[known.has(pairs)]] = True
     at = np.flatnonzero(codes >= 0)
+    at = at[known.has(word_hash(lang, hashes[codes[at]]))]
     goes, columns = np.ones(len(at), dtype=bool), [codes[at]]
     for k in range(1, LONGEST):
         goes = goes & good[at + k - 1]
@@ -247,17 +254,21 @@ def distinct_paths(columns: tuple[np.ndarray, ...]) -> tuple[list[np.ndarray], n
 
 
 def counted_paths(docs: DataFrame, known) -> DataFrame:
-    """(lang, w1, ..., n): how often each path occurs; words are NULL from where it stops. ``known``: a broadcast filter."""
+    """(lang, w1, ..., n): how often each path occurs; words are NULL from where it stops. ``known``: a broadcast filter.
+
+    A row of NULLs has the number of all words.
+    """
     names = [f"w{k}" for k in range(1, LONGEST + 1)]
 
     def rows(run: list[tuple], words: list[bytes]) -> pa.RecordBatch:
         run = sorted(((path[0], *[words[i] if i >= 0 else b"" for i in path[1:]]), n) for path, n in run)
-        columns = list(zip(*(path for path, _ in run)))
+        columns = list(zip(*(path for path, _ in run))) or [()] * (LONGEST + 1)
         arrays = [pa.array(columns[0], pa.string()), *[pa.array([w.decode() or None for w in c], pa.string()) for c in columns[1:]]]
         return pa.RecordBatch.from_arrays([*arrays, pa.array([n for _, n in run], pa.int64())], ["lang", *names, "n"])
 
     def count(batches):
         trie, ids, filtered = HatTrie(), Ids(), known.value
+        words: dict[str, int] = {}
 
         def out(keep: int):
             run: list[tuple] = []
@@ -274,6 +285,7 @@ def counted_paths(docs: DataFrame, known) -> DataFrame:
                 yield from out(0)
                 ids.start()
                 continue
+            words[lang] = words.get(lang, 0) + int((codes >= 0).sum())
             if not len(codes):
                 continue
             found, times = distinct_paths(chains(lang, codes, ids.hashes(), filtered))
@@ -282,6 +294,7 @@ def counted_paths(docs: DataFrame, known) -> DataFrame:
             if trie.size > ENTRIES:
                 yield from out(ENTRIES // 2)
         yield from out(0)
+        yield rows([((lang, *[END] * LONGEST), n) for lang, n in words.items()], [])
 
     schema = ", ".join(["lang string", *[f"{w} string" for w in names], "n bigint"])
     return docs.mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
@@ -293,7 +306,7 @@ def joined(*parts: str) -> Column:
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of the phrases of 1 to ``LONGEST`` words found ``least`` times or more, and (lang, n)."""
-    known = docs.sparkSession.sparkContext.broadcast(pair_filter(docs, least))
+    known = docs.sparkSession.sparkContext.broadcast(frequent_filter(docs, least))
     paths = written(counted_paths(docs, known), "paths")
     known.unpersist()
     found = None
@@ -302,7 +315,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
         level = paths.filter(F.col(names[-1]).isNotNull()).groupBy("lang", *names).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
         level = level.select("lang", joined(*names).alias("phrase"), F.lit(size).alias("size"), "f")
         found = level if found is None else found.unionByName(level)
-    return written(found, "phrases"), paths.groupBy("lang").agg(F.sum("n").alias("n"))
+    return written(found, "phrases"), paths.filter("w1 is null").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def inside(phrase: str) -> Column:

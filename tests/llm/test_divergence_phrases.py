@@ -145,7 +145,7 @@ def test_collocations_with_small_tries(spark, docs, rows, monkeypatch):
     for name, small in (("BURST", 4), ("ENTRIES", 50), ("NUMBERED", 300), ("TOKENS", 200), ("PAIRS", 500), ("ROWS", 2)):
         monkeypatch.setattr(phrases, name, small)
     monkeypatch.setattr(phrases.HatTrie.__init__, "__defaults__", (4,))
-    monkeypatch.setattr(phrases.pair_filter, "__defaults__", (1 << 7,))
+    monkeypatch.setattr(phrases.frequent_filter, "__defaults__", (1 << 7,))
     assert {tuple(r) for r in phrases.collocations(docs, 2).collect()} == slow_phrases(rows, 2, 2000)
 
 
