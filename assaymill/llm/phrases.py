@@ -15,6 +15,7 @@ a row, no frequent phrase is missed, and what is counted are words, never hashes
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,11 +27,13 @@ from assaymill.operators.ordering import numbered
 _BYTES = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: Entries of a container before it bursts, of a trie before subtrees leave it, words numbered before the numbers start anew.
-BURST, ENTRIES, NUMBERED = 4096, 200_000, 200_000
+BURST, ENTRIES, NUMBERED = 4096, 400_000, 200_000
 #: Bits of the filter of frequent pairs, a power of two: 8 MB at any size of the input.
 BITS = 1 << 26
 #: Rows read at once, words worked on at once, hashes of pairs held before they are handed on, least rows handed on at once.
-ROWS, TOKENS, PAIRS, RUN = 128, 200_000, 1_000_000, 20_000
+ROWS, TOKENS, PAIRS, RUN = 128, 200_000, 3_000_000, 20_000
+#: Bytes of text to a bucket of hashes.
+BUCKET = 1 << 24
 END = -1
 
 
@@ -179,29 +182,60 @@ def word_hash(lang: str, hashes: np.ndarray) -> np.ndarray:
     return pair_hash(lang, hashes ^ np.uint64(0x5851F42D4C957F2D), np.zeros(1, dtype=np.uint64))
 
 
+def slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of a filter for each hash."""
+    x = hashes * np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    mask = np.uint64(bits - 1)
+    return (x >> np.uint64(3)) & mask, (x >> np.uint64(37)) & mask
+
+
 class Filter:
-    """A set of hashes in a fixed number of bits, two for each."""
+    """A set of hashes, shortened by ``shift`` bits, in a fixed number of bits, two for each."""
 
-    def __init__(self, words: np.ndarray):
-        self.words = words
+    def __init__(self, words: np.ndarray, shift: int):
+        self.words, self.shift = words, shift
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        mask = np.uint64(64 * len(self.words) - 1)
         found = np.ones(len(hashes), dtype=bool)
-        for slot in (hashes & mask, (hashes >> np.uint64(36)) & mask):
+        for slot in slots(hashes >> np.uint64(self.shift), 64 * len(self.words)):
             found &= (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
         return found
 
 
+def packed_run(low: np.ndarray) -> bytes:
+    """Rising numbers as their differences, byte planes one after the other, so that high bytes compress away."""
+    return np.ascontiguousarray(np.diff(low, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked_run(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
+
+
 def frequent_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
-    """Filter of the words and pairs whose hash occurs ``least`` times. The driver sees at most bits / 64 numbers."""
+    """Filter of the words and pairs whose hash occurs ``least`` times. The driver sees at most bits / 64 numbers.
+
+    Hashes travel as sorted runs, one row per task and bucket of leading bits; buckets
+    rise with the text, so that one fits a task. Shortened hashes that coincide count
+    together, which only lets more pairs through.
+    """
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    shift = 32 - max(8, (size // BUCKET).bit_length())
 
     def count(batches):
         ids, held, size = Ids(), [], 0
 
         def out():
-            found, times = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], ["pair", "n"])
+            found, times = np.unique(np.concatenate(held) >> np.uint64(shift), return_counts=True)
+            bucket, low, times = (found >> np.uint64(32)).astype(np.int64), found.astype(np.uint32), times.astype(np.uint32)
+            edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, dtype=np.int64)
+            spans = list(zip(edges, np.append(edges[1:], len(bucket))))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[edges]), pa.array([packed_run(low[a:b]) for a, b in spans], pa.binary()), pa.array([times[a:b].tobytes() for a, b in spans], pa.binary())],
+                ["bucket", "run", "times"],
+            )
 
         for lang, codes in blocks(batches, ids):
             if lang is None:
@@ -216,14 +250,20 @@ def frequent_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
         if held:
             yield out()
 
-    each = docs.mapInArrow(count, "pair bigint, n bigint")
-    frequent = each.groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    place = F.explode(F.array(F.col("pair").bitwiseAND(bits - 1), F.shiftrightunsigned("pair", 36).bitwiseAND(bits - 1)))
-    marks = frequent.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bit"))
-    found = marks.toPandas()
+    def merge(key, frame):
+        low = np.concatenate([unpacked_run(r) for r in frame["run"]])
+        times = np.concatenate([np.frombuffer(t, dtype=np.uint32) for t in frame["times"]]).astype(np.int64)
+        found, where = np.unique(low, return_inverse=True)
+        often = found[np.bincount(where, weights=times, minlength=len(found)) >= least].astype(np.uint64)
+        slot = np.concatenate(slots(often | np.uint64(int(key[0]) << 32), bits))
+        return pd.DataFrame({"slot": (slot >> np.uint64(6)).astype(np.int64), "bit": (np.uint64(1) << (slot & np.uint64(63))).view(np.int64)})
+
+    runs = docs.mapInArrow(count, "bucket bigint, run binary, times binary")
+    marks = runs.groupBy("bucket").applyInPandas(merge, "slot bigint, bit bigint")
+    found = marks.groupBy("slot").agg(F.bit_or("bit").alias("bit")).toPandas()
     words = np.zeros(bits // 64, dtype=np.uint64)
     words[found["slot"].to_numpy(dtype=np.int64)] = found["bit"].to_numpy(dtype=np.int64).view(np.uint64)
-    return Filter(words)
+    return Filter(words, shift)
 
 
 def chains(lang: str, codes: np.ndarray, hashes: np.ndarray, known: Filter) -> tuple[np.ndarray, ...]:
@@ -268,28 +308,35 @@ def counted_paths(docs: DataFrame, known) -> DataFrame:
 
     def count(batches):
         trie, ids, filtered = HatTrie(), Ids(), known.value
-        words: dict[str, int] = {}
+        # Words of paths keep their ids when the ids of all words start anew.
+        kept, words = Ids(), {}
 
         def out(keep: int):
             run: list[tuple] = []
             for subtree in trie.spill(keep):
                 run += subtree
                 if len(run) >= RUN:
-                    yield rows(run, ids.words)
+                    yield rows(run, kept.words)
                     run = []
             if run:
-                yield rows(run, ids.words)
+                yield rows(run, kept.words)
 
         for lang, codes in blocks(batches, ids):
             if lang is None:
-                yield from out(0)
                 ids.start()
+                if len(kept) > NUMBERED:
+                    yield from out(0)
+                    kept.start()
                 continue
             words[lang] = words.get(lang, 0) + int((codes >= 0).sum())
             if not len(codes):
                 continue
             found, times = distinct_paths(chains(lang, codes, ids.hashes(), filtered))
-            for path, n in zip(zip(*(c.tolist() for c in found)), times.tolist()):
+            own = {END: END}
+            for code in np.unique(np.concatenate(found)).tolist():
+                if code >= 0:
+                    own[code] = kept[ids.words[code]]
+            for path, n in zip(zip(*(map(own.__getitem__, c.tolist()) for c in found)), times.tolist()):
                 trie.add((lang, *path), n)
             if trie.size > ENTRIES:
                 yield from out(ENTRIES // 2)
