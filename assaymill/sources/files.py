@@ -171,3 +171,8 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.csv(path, schema=SCORE_SCHEMA, header=True, recursiveFileLookup=True)
     name = F.regexp_extract(file_path(), r"train_([^/]*)_clf", 1)
     return rows.select(name.alias("dataset"), "clf", "f1_scores", "precisions", "recalls")
+
+
+def read_training_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(text, label, dataset) of ``write_training_lines``; large files are read by several tasks."""
+    return spark.read.schema("text string, label string, dataset string").json(path)

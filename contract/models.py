@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from assaymill.functions.text import STOP_WORDS
 from assaymill.operators import features, models, scores
-from assaymill.operators.training_sets import exact_split
+from assaymill.operators.training_sets import exact_split, series_training_sets
 from assaymill.plans.classify import Models, classify
 from assaymill.session import cut, scratch_folder
 from assaymill.sources.catalog import GSM_COLUMNS, Catalog
 from assaymill.sources import files, sinks
 from contract.registry import big, query, r6
 from contract.standins import Tables
+from contract.training import LABELS, curated_files
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 WORDS_SQL = rf"""
@@ -230,6 +231,27 @@ def top_terms(t: Tables):
     return best.select("class", "rank", "term", r6("coefficient").alias("coefficient"))
 
 
+@query("trained_classify", r"""
+    with c as (select 'file' || (cast(substr(geo_id, 4) as int) // 10 % 3) file, geo_id from px_curated),
+    ws as (select case file when 'file2' then 'non_pert' else 'pert' end c, list_distinct(regexp_extract_all(lower(title), '[\p{L}\p{N}_]{2,}')) w
+           from c join px_series on gse = geo_id),
+    n as (select c, count(*) n, sum(count(*)) over () total, count(*) over () k from ws group by c),
+    tc as (select c, token, count(*) k from (select c, unnest(w) token from ws) group by all),
+    theta as (select v.token, n.c, (coalesce(tc.k, 0) + 1) / (n.n + 2.0) p from (select distinct token from tc) v cross join n left join tc on tc.token = v.token and tc.c = n.c),
+    base as (select c, ln((any_value(n) + 1) / (any_value(total) + any_value(n.k))) + sum(ln(1 - p)) s from theta join n using (c) group by c),
+    x as (select gse, unnest(list_distinct(regexp_extract_all(lower(title), '[\p{L}\p{N}_]{2,}'))) token from px_series),
+    met as (select gse, c, sum(ln(p) - ln(1 - p)) s from x join theta using (token) group by all)
+    select gse, arg_max(c, base.s + coalesce(met.s, 0)) label_name from px_series cross join base left join met using (gse, c) group by gse""")
+def trained_classify(t: Tables):
+    """From curated ids to a saved model that names the class of every series."""
+    path = scratch_folder(t.spark, "trained")
+    sets = series_training_sets(curated_files(t), t.series, LABELS)
+    model = models.train_classifier(sets.filter("dataset = 'title'").select("text", "label"), "bnb", select=False)
+    sinks.save_model(model, path)
+    series = t.series.select("gse", F.col("title").alias("text"))
+    return models.predict(series, sinks.load_model(path), column="label_name").select("gse", F.col("prediction").alias("label_name"))
+
+
 CELLS_SQL = """
     c as (select class, count(*) filter (where quality = class) support, count(*) filter (where toxic = class) predicted,
                  count(*) filter (where quality = class and toxic = class) hits

@@ -74,6 +74,13 @@ def training_sink(t: Tables):
     return back.select("dataset", F.md5("text").alias("text_md5"), "label")
 
 
+@query("training_lines", COMBINATION_SQL + "select dataset, md5(txt) text_md5, label from d")
+def training_lines(t: Tables):
+    path = scratch_folder(t.spark, "training-lines")
+    sinks.write_training_lines(ops.combination_sets(samples_of(t)), path)
+    return files.read_training_lines(t.spark, path).select("dataset", F.md5("text").alias("text_md5"), "label")
+
+
 @query("exact_split", """
     select cast(floor(0.8 * count(*)) as bigint) n_train, cast(count(*) - floor(0.8 * count(*)) as bigint) n_test,
            cast(0 as bigint) n_shared, cast(sum(length(text)) as bigint) chars from px_labelled""")
