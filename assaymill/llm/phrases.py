@@ -3,8 +3,8 @@
 A task counts paths of words in a trie whose upper levels are keyed by word id and whose
 lower ends are hash containers of the remaining ids; a container that grows too large
 bursts into a level of smaller ones. When the trie is full its largest subtrees leave it
-whole, as runs sorted by their words, and Spark merges the runs of all tasks by path. A
-phrase counts as the prefix of all paths that begin with it.
+whole, as sorted runs for each partition of prefixes, and the runs of all tasks are merged
+there. A phrase counts as the prefix of all paths that begin with it.
 
 A path begins with a word and goes on along pairs of words that may be frequent, as all
 words and pairs within a frequent phrase are. A first pass counts hashes of words and pairs
@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assaymill.llm.common import written
@@ -30,9 +31,9 @@ LEAST, LONGEST, TOP = 30, 4, 2000
 BURST, ENTRIES, NUMBERED = 4096, 400_000, 200_000
 #: Bits of the filter of frequent pairs, a power of two: 8 MB at any size of the input.
 BITS = 1 << 26
-#: Rows read at once, words worked on at once, hashes of pairs held before they are handed on, least rows handed on at once.
-ROWS, TOKENS, PAIRS, RUN = 128, 200_000, 3_000_000, 20_000
-#: Bytes of text to a bucket of hashes.
+#: Rows read at once, words worked on at once, hashes of pairs held before they are handed on.
+ROWS, TOKENS, PAIRS = 128, 200_000, 3_000_000
+#: Bytes of text to a bucket of hashes or of paths.
 BUCKET = 1 << 24
 END = -1
 
@@ -214,14 +215,13 @@ def unpacked_run(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
 
 
-def frequent_filter(docs: DataFrame, least: int, bits: int = BITS) -> Filter:
+def frequent_filter(docs: DataFrame, size: int, least: int, bits: int = BITS) -> Filter:
     """Filter of the words and pairs whose hash occurs ``least`` times. The driver sees at most bits / 64 numbers.
 
     Hashes travel as sorted runs, one row per task and bucket of leading bits; buckets
-    rise with the text, so that one fits a task. Shortened hashes that coincide count
-    together, which only lets more pairs through.
+    rise with the ``size`` of the text, so that one fits a task. Shortened hashes that
+    coincide count together, which only lets more pairs through.
     """
-    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     shift = 32 - max(8, (size // BUCKET).bit_length())
 
     def count(batches):
@@ -293,18 +293,45 @@ def distinct_paths(columns: tuple[np.ndarray, ...]) -> tuple[list[np.ndarray], n
     return [c[order[begin]] for c in columns], np.diff(np.append(begin, len(order)))
 
 
-def counted_paths(docs: DataFrame, known) -> DataFrame:
-    """(lang, w1, ..., n): how often each path occurs; words are NULL from where it stops. ``known``: a broadcast filter.
+PACKED = "bucket bigint, lang string, words binary, codes binary, n binary"
 
-    A row of NULLs has the number of all words.
-    """
-    names = [f"w{k}" for k in range(1, LONGEST + 1)]
 
-    def rows(run: list[tuple], words: list[bytes]) -> pa.RecordBatch:
-        run = sorted(((path[0], *[words[i] if i >= 0 else b"" for i in path[1:]]), n) for path, n in run)
-        columns = list(zip(*(path for path, _ in run))) or [()] * (LONGEST + 1)
-        arrays = [pa.array(columns[0], pa.string()), *[pa.array([w.decode() or None for w in c], pa.string()) for c in columns[1:]]]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array([n for _, n in run], pa.int64())], ["lang", *names, "n"])
+def packed_paths(run: list[tuple], ids: Ids, buckets: int) -> pa.RecordBatch:
+    """The paths of ``run`` as one sorted run for each language and prefix partition: its words, their places by path, counts.
+
+    The partition goes by the first two words, so that all phrases that begin with a pair meet.
+    """
+    out = []
+    place = {lang: [] for lang in dict.fromkeys(path[0] for path, _ in run)}
+    for path, n in run:
+        place[path[0]].append((*path[1:], n))
+    rank = np.empty(len(ids.words) + 1, dtype=np.int64)
+    order = sorted(range(len(ids.words)), key=ids.words.__getitem__)
+    rank[order], rank[-1] = np.arange(1, len(order) + 1), 0
+    for lang, paths_ in place.items():
+        table = np.array(paths_, dtype=np.int64)
+        codes, n = rank[table[:, :-1]], table[:, -1]
+        hashes = np.append(ids.hashes(), np.uint64(0))
+        bucket = (pair_hash(lang, hashes[table[:, 0]], hashes[table[:, 1]]) % np.uint64(buckets)).astype(np.int64)
+        sort = np.lexsort((*codes.T[::-1], bucket))
+        codes, n, bucket = codes[sort], n[sort], bucket[sort]
+        edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        for a, b in zip(edges, np.append(edges[1:], len(bucket))):
+            used, where = np.unique(codes[a:b], return_inverse=True)
+            words = b"\n".join(ids.words[order[r - 1]] if r else b"" for r in used.tolist())
+            column = np.ascontiguousarray(where.reshape(codes[a:b].shape).T, dtype=np.uint32).ravel()
+            planes = np.ascontiguousarray(column.view(np.uint8).reshape(-1, 4).T)
+            out.append((int(bucket[a]), lang, words, planes.tobytes(), n[a:b].tobytes()))
+    columns = list(zip(*out)) or [()] * 5
+    types = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "lang", "words", "codes", "n"])
+
+
+def counted_paths(docs: DataFrame, known, buckets: int) -> DataFrame:
+    """Sorted runs of the paths of all tasks, see ``packed_paths``; ``known``: a broadcast filter.
+
+    Rows of a bucket below zero have the number of all words of a language.
+    """
 
     def count(batches):
         trie, ids, filtered = HatTrie(), Ids(), known.value
@@ -312,14 +339,9 @@ def counted_paths(docs: DataFrame, known) -> DataFrame:
         kept, words = Ids(), {}
 
         def out(keep: int):
-            run: list[tuple] = []
-            for subtree in trie.spill(keep):
-                run += subtree
-                if len(run) >= RUN:
-                    yield rows(run, kept.words)
-                    run = []
+            run = [entry for subtree in trie.spill(keep) for entry in subtree]
             if run:
-                yield rows(run, kept.words)
+                yield packed_paths(run, kept, buckets)
 
         for lang, codes in blocks(batches, ids):
             if lang is None:
@@ -341,28 +363,64 @@ def counted_paths(docs: DataFrame, known) -> DataFrame:
             if trie.size > ENTRIES:
                 yield from out(ENTRIES // 2)
         yield from out(0)
-        yield rows([((lang, *[END] * LONGEST), n) for lang, n in words.items()], [])
+        part = -1 - TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part] * len(words), pa.int64()), pa.array([*words], pa.string()), *[pa.array([b""] * len(words), pa.binary())] * 2,
+             pa.array([np.array([n], dtype=np.int64).tobytes() for n in words.values()], pa.binary())],
+            ["bucket", "lang", "words", "codes", "n"],
+        )
 
-    schema = ", ".join(["lang string", *[f"{w} string" for w in names], "n bigint"])
-    return docs.mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(count, PACKED)
 
 
-def joined(*parts: str) -> Column:
-    return F.concat_ws(" ", *parts)
+def merged_paths(runs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, size, f) of the runs of each prefix partition: phrases of two words and more that reach ``least``.
+
+    Size 1 has the part of each first word that lies in the partition, and size 0 the words of the language.
+    """
+
+    def merge(key, frame):
+        names = ["lang", "phrase", "size", "f"]
+        if key[0] < 0:
+            counts = [int(np.frombuffer(n, dtype=np.int64)[0]) for n in frame["n"]]
+            return pd.DataFrame({"lang": frame["lang"], "phrase": "", "size": 0, "f": counts})[names]
+        found = []
+        for lang, part in frame.groupby("lang", sort=False):
+            ids, words, tables, counts = {b"": 0}, [b""], [], []
+            for blob, codes, n in zip(part["words"], part["codes"], part["n"]):
+                own = np.array([ids.setdefault(w, len(ids)) for w in blob.split(b"\n")], dtype=np.int64)
+                planes = np.frombuffer(codes, dtype=np.uint8).reshape(4, -1)
+                tables.append(own[np.ascontiguousarray(planes.T).view(np.uint32).reshape(LONGEST, -1)])
+                counts.append(np.frombuffer(n, dtype=np.int64))
+            words = [w.decode() for w in ids]
+            table, n = np.concatenate(tables, axis=1), np.concatenate(counts)
+            order = np.lexsort(table[::-1])
+            table, n = table[:, order], n[order]
+            change = np.zeros(table.shape[1], dtype=bool)
+            change[:1] = True
+            for size in range(1, LONGEST + 1):
+                change[1:] |= table[size - 1, 1:] != table[size - 1, :-1]
+                begin = np.flatnonzero(change)
+                sums = np.add.reduceat(n, begin)
+                use = (table[size - 1, begin] != 0) & ((sums >= least) | (size == 1))
+                phrases_ = [" ".join(words[w] for w in column) for column in table[:size, begin[use]].T.tolist()]
+                found.append(pd.DataFrame({"lang": lang, "phrase": phrases_, "size": size, "f": sums[use]}))
+        return pd.concat(found)[names]
+
+    return runs.groupBy("bucket").applyInPandas(merge, "lang string, phrase string, size int, f bigint")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of the phrases of 1 to ``LONGEST`` words found ``least`` times or more, and (lang, n)."""
-    known = docs.sparkSession.sparkContext.broadcast(frequent_filter(docs, least))
-    paths = written(counted_paths(docs, known), "paths")
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET + 1)
+    known = docs.sparkSession.sparkContext.broadcast(frequent_filter(docs, size, least))
+    found = written(merged_paths(counted_paths(docs, known, buckets), least), "paths")
     known.unpersist()
-    found = None
-    for size in range(1, LONGEST + 1):
-        names = [f"w{k}" for k in range(1, size + 1)]
-        level = paths.filter(F.col(names[-1]).isNotNull()).groupBy("lang", *names).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-        level = level.select("lang", joined(*names).alias("phrase"), F.lit(size).alias("size"), "f")
-        found = level if found is None else found.unionByName(level)
-    return written(found, "phrases"), paths.filter("w1 is null").groupBy("lang").agg(F.sum("n").alias("n"))
+    # A first word lies in a partition for each of its followers.
+    single = found.filter("size = 1").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    every = written(found.filter("size > 1").unionByName(single), "phrases")
+    return every, found.filter("size = 0").groupBy("lang").agg(F.sum("f").alias("n"))
 
 
 def inside(phrase: str) -> Column:

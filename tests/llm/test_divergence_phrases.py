@@ -142,7 +142,7 @@ def test_collocations(docs, rows, least, top):
 
 def test_collocations_with_small_tries(spark, docs, rows, monkeypatch):
     """Bursting, spilling, renumbering and a filter in which nearly every pair hits change nothing."""
-    for name, small in (("BURST", 4), ("ENTRIES", 50), ("NUMBERED", 300), ("TOKENS", 200), ("PAIRS", 500), ("ROWS", 2)):
+    for name, small in (("BURST", 4), ("ENTRIES", 50), ("NUMBERED", 300), ("TOKENS", 200), ("PAIRS", 500), ("ROWS", 2), ("BUCKET", 1 << 12)):
         monkeypatch.setattr(phrases, name, small)
     monkeypatch.setattr(phrases.HatTrie.__init__, "__defaults__", (4,))
     monkeypatch.setattr(phrases.frequent_filter, "__defaults__", (1 << 7,))
