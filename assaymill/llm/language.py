@@ -30,7 +30,11 @@ ROWS = 256
 
 
 def words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters; the pattern lets numbers such as one half pass, which part words like any other character."""
+    found = LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for f in found for w in "".join(c if c.isalpha() else " " for c in f).split()]
 
 
 def held_out():
@@ -225,7 +229,7 @@ def identify(docs: DataFrame, vocabulary: list[bytes], labelled: int = LABELLED)
 
     score is the probability of lang_pred if all learned languages are equally likely.
     A text that is null or has no letter is ``und`` with score 0, as is every text if
-    nothing can be learned. Rows that repeat a doc_id are judged one by one. Words are
+    nothing can be learned. An empty table gives no rows. Rows that repeat a doc_id are judged one by one. Words are
     runs of letters in lower case; texts are read whole.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))

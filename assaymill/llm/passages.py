@@ -90,11 +90,11 @@ def seen_before(codes: np.ndarray) -> np.ndarray:
     """For each word of a text: does the three-word window that begins there occur earlier?"""
     out = np.zeros(len(codes))
     if len(codes) > 3:
-        h = codes.astype(np.uint64)
+        c = codes.astype(np.uint64)
+        window = c[:-2]
         for by in (1, 2):
-            h[:-by] = h[:-by] * np.uint64(0x9E3779B97F4A7C15) + h[by:]
-            h ^= h >> np.uint64(29)
-        window = h[: len(codes) - 2]
+            window = window * np.uint64(0x9E3779B97F4A7C15) + c[by : len(c) - 2 + by]
+            window ^= window >> np.uint64(29)
         first = np.unique(window, return_index=True)[1]
         out[: len(window)] = 1
         out[first] = 0
@@ -257,12 +257,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, labelled: int, passages:
 def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, passages: int = PASSAGES) -> Attention:
     """The model. Where the sample lacks one of the labels, every text gets the share of label 1, or 0.5 without any."""
     x, begins, y = labelled_sample(docs, labels, labelled, passages)
-    if not len(y):
-        return Attention(np.zeros(WIDTH), np.ones(WIDTH))
     prior = float((y.sum() + 0.5) / (len(y) + 1))
+    if not 0 < y.sum() < len(y):
+        model = Attention(np.zeros(WIDTH), np.ones(WIDTH), prior)
+        model.p["c"][:] = 0.0
+        return model
     model = Attention(x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3), prior)
-    if 0 < y.sum() < len(y):
-        model.fit(x, begins, y)
+    model.fit(x, begins, y)
     return model
 
 

@@ -111,3 +111,9 @@ def test_the_last_stage_decodes(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.encode(spark, docs, "").collect()}
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+
+
+def test_numbers_are_no_letters():
+    """One half and squares are numbers: a text of them alone has no letter."""
+    assert language.words("½ ² 12 Ⅳ") == []
+    assert language.words("Éa½b x²y") == ["éa", "b", "x", "y"]
