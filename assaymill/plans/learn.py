@@ -49,6 +49,6 @@ def benchmark(
         column = "selected"
 
     def vectors(df: DataFrame) -> DataFrame:
-        return ready.transform(df).select(df["label"], column).withColumnRenamed(column, "features")
+        return ready.transform(df).select("label", column).withColumnRenamed(column, "features")
 
     return models.bench(vectors(train), vectors(test), chosen or models.classifiers())
