@@ -140,6 +140,17 @@ def same_length(texts: np.ndarray):
         yield rows, letters.reshape(len(rows), width)
 
 
+#: Reads whose words are counted at once.
+ROWS = 256
+
+
+def same_in_row(codes: np.ndarray) -> np.ndarray:
+    """For each place of a matrix, how often its value is in its row; each row is counted in a table of the values seen."""
+    values, at = np.unique(codes, return_inverse=True)
+    cells = np.arange(len(codes))[:, None] * len(values) + at.reshape(codes.shape)
+    return np.bincount(cells.ravel(), minlength=len(codes) * len(values))[cells]
+
+
 def complexity_score(window: int, step: int, word: int):
     """Arrow function: entropy of the words of a read, 0 to 100, averaged over windows.
 
@@ -161,7 +172,7 @@ def complexity_score(window: int, step: int, word: int):
                 if n < 2:
                     continue
                 codes = sum(piece[:, k:k + n] << (8 * k) for k in range(word))
-                counts = sum((codes == codes[:, [i]]).astype(np.int16) for i in range(n))
+                counts = np.concatenate([same_in_row(codes[k:k + ROWS]) for k in range(0, len(codes), ROWS)])
                 entropy = -np.log(counts / n).mean(axis=1)
                 result[rows] += entropy / np.log(min(4**word, n)) * 100 / len(starts)
         return pd.Series(result)
