@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from assaymill.functions.text import STOP_WORDS, words
 from assaymill.operators.ordering import numbered
-from assaymill.session import cut
+from assaymill.session import cut, shuffled
 
 #: Nodes of a salted block of a word, nodes of a block of a series whose pairs meet in one task.
 BLOCK, FOREST = 2000, 1000
@@ -40,7 +40,7 @@ def with_both_types(df: DataFrame) -> DataFrame:
     kinds = df.groupBy("gse").agg(
         F.bool_or(F.col("type") == "ctrl").alias("ctrl"), F.bool_or(F.col("type") == "pert").alias("pert")
     )
-    return df.join(kinds.filter("ctrl and pert").select("gse"), "gse", "left_semi")
+    return df.join(shuffled(kinds.filter("ctrl and pert").select("gse")), "gse", "left_semi")
 
 
 def word_bags(df: DataFrame, stop: list[str]) -> DataFrame:
@@ -70,8 +70,8 @@ def node_vectors(nodes: DataFrame) -> DataFrame:
     totals = nodes.groupBy("gse").agg(F.sum(size).alias("n"))
     weight = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
     return (
-        terms.join(spread, ["gse", "token"])
-        .join(totals, "gse")
+        terms.join(shuffled(spread), ["gse", "token"])
+        .join(shuffled(totals), "gse")
         .groupBy("gse", "node")
         .agg(F.array_sort(F.collect_list(F.struct("df", F.xxhash64("token").alias("id"), weight.alias("w")))).alias("v"))
         .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])))
@@ -108,7 +108,7 @@ def candidate_pairs(vectors: DataFrame, least_cosine: float) -> DataFrame:
         entries.groupBy("gse", "id").count().filter("count > 1")
         .select("gse", "id", F.ceil(F.col("count") / BLOCK).cast("int").alias("salts"))
     )
-    placed = entries.join(blocks, ["gse", "id"])
+    placed = entries.join(shuffled(blocks), ["gse", "id"])
     left = placed.select(
         "gse", "id", F.col("node").alias("a"), F.col("w").alias("wa"), F.col("tail").alias("ta"),
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
@@ -118,7 +118,7 @@ def candidate_pairs(vectors: DataFrame, least_cosine: float) -> DataFrame:
         F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"),
     )
     sums = (
-        left.join(right, ["gse", "id", "salt"]).filter("a < b").groupBy("gse", "a", "b").agg(
+        left.join(shuffled(right), ["gse", "id", "salt"]).filter("a < b").groupBy("gse", "a", "b").agg(
             F.sum(F.col("wa") * F.col("wb")).alias("met"), F.sum(F.col("wa") * F.col("wa")).alias("ma"),
             F.sum(F.col("wb") * F.col("wb")).alias("mb"), F.max("ta").alias("ta"), F.max("tb").alias("tb"),
         )
@@ -142,8 +142,8 @@ def close_pairs(vectors: DataFrame, eps_from: float, last: int, step: float) ->
     level = F.greatest(F.ceil(F.round((F.col("d") - eps_from) / step, 7)).cast("int"), F.lit(0))
     return (
         candidate_pairs(vectors, 1 - widest**2 / 2 - 1e-6)
-        .join(side("a"), ["gse", "a"])
-        .join(side("b"), ["gse", "b"])
+        .join(shuffled(side("a")), ["gse", "a"])
+        .join(shuffled(side("b")), ["gse", "b"])
         .select("gse", "a", "b", distance.alias("d"))
         .select("gse", "a", "b", level.alias("level"))
         .filter(F.col("level") <= last)
@@ -159,7 +159,7 @@ def spanning_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     sizes = nodes.groupBy("gse").agg(F.ceil(F.count(F.lit(1)) / FOREST).cast("int").alias("_blocks"))
     block = lambda name: F.pmod(F.xxhash64(name), F.col("_blocks")).cast("int")
-    placed = edges.join(sizes, "gse").withColumns({"_i": block("a"), "_j": block("b")})
+    placed = edges.join(shuffled(sizes), "gse").withColumns({"_i": block("a"), "_j": block("b")})
     placed = placed.select("gse", "a", "b", "level", F.least("_i", "_j").alias("_low"), F.greatest("_i", "_j").alias("_high"))
 
     def forest(key, frame):
@@ -193,16 +193,16 @@ def components(edges: DataFrame, keys: list[str]) -> DataFrame:
     )
     while True:
         around = (
-            both.join(labels.withColumnRenamed("node", "b"), [*keys, "b"])
+            both.join(shuffled(labels.withColumnRenamed("node", "b")), [*keys, "b"])
             .groupBy(*keys, F.col("a").alias("node"))
             .agg(F.min("label").alias("near"))
         )
-        lower = labels.join(around, [*keys, "node"]).select(
+        lower = labels.join(shuffled(around), [*keys, "node"]).select(
             *keys, "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
         parents = lower.select(*keys, F.col("node").alias("label"), F.col("label").alias("parent"))
         jumped = cut(
-            lower.join(parents, [*keys, "label"], "left")
+            lower.join(shuffled(parents), [*keys, "label"], "left")
             .select(*keys, "node", "old", F.coalesce("parent", "label").alias("label"))
         )
         moved = jumped.filter("label <> old").limit(1).count()
@@ -229,8 +229,8 @@ def cluster_samples(
     chosen, first = None, 0
     for last in ends:
         if chosen is not None:
-            nodes_left = cut(nodes_left.join(chosen.select("gse").distinct(), "gse", "left_anti"))
-            vectors = vectors.join(chosen.select("gse").distinct(), "gse", "left_anti")
+            nodes_left = cut(nodes_left.join(shuffled(chosen.select("gse").distinct()), "gse", "left_anti"))
+            vectors = vectors.join(shuffled(chosen.select("gse").distinct()), "gse", "left_anti")
             if nodes_left.isEmpty():
                 break
         else:
@@ -241,12 +241,12 @@ def cluster_samples(
     names = numbered(
         chosen.filter("label is not null").select("gse", "label").distinct(), ["gse"], [F.col("label")]
     ).select("gse", "label", (F.col("rn") - 1).alias("cluster"))
-    node_clusters = chosen.join(names, ["gse", "label"], "left").select(
+    node_clusters = chosen.join(shuffled(names), ["gse", "label"], "left").select(
         "gse", "node", F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"),
         F.round(eps_from + F.col("level") * step, 9).alias("eps"),
     )
-    bag_clusters = nodes.select("gse", "bag", "node").join(node_clusters, ["gse", "node"]).drop("node")
-    return bags.join(bag_clusters, ["gse", "bag"]).select("gse", "gsm", "text", "type", "cluster", "eps")
+    bag_clusters = nodes.select("gse", "bag", "node").join(shuffled(node_clusters), ["gse", "node"]).drop("node")
+    return bags.join(shuffled(bag_clusters), ["gse", "bag"]).select("gse", "gsm", "text", "type", "cluster", "eps")
 
 
 def split_series(nodes: DataFrame, vectors: DataFrame, eps_from: float, first: int, last: int, step: float) -> DataFrame:
@@ -256,7 +256,7 @@ def split_series(nodes: DataFrame, vectors: DataFrame, eps_from: float, first: i
     labels = components(edges, ["gse", "level"])
     alone = F.when(F.col("n_ctrl") + F.col("n_pert") > 1, F.col("node"))
     levels = nodes.select("gse", "node", "n_ctrl", "n_pert", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("level"))
-    labelled = levels.join(labels, ["gse", "level", "node"], "left").withColumn("label", F.coalesce("label", alone))
+    labelled = levels.join(shuffled(labels), ["gse", "level", "node"], "left").withColumn("label", F.coalesce("label", alone))
     clusters = labelled.groupBy("gse", "level", "label").agg(
         F.sum("n_ctrl").alias("n_ctrl"), F.sum("n_pert").alias("n_pert")
     )
@@ -269,4 +269,4 @@ def split_series(nodes: DataFrame, vectors: DataFrame, eps_from: float, first: i
         .groupBy("gse")
         .agg(F.min("level").alias("level"))
     )
-    return cut(labelled.join(accepted, ["gse", "level"]).select("gse", "level", "node", "label"))
+    return cut(labelled.join(shuffled(accepted), ["gse", "level"]).select("gse", "level", "node", "label"))
