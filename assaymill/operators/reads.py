@@ -95,28 +95,37 @@ def trim_ends(df: DataFrame, left: int = 10, right_quality: int = 25) -> DataFra
     return keep_span(df, F.lit(left + 1), F.length(F.rtrim(cut, F.lit(below(right_quality)))))
 
 
+def low_window(window: int, min_mean: int):
+    """Arrow function: 1-based first window with a mean quality below ``min_mean``, 0 for none."""
+
+    @F.pandas_udf("int")
+    def position(qual: pd.Series) -> pd.Series:
+        result = np.zeros(len(qual), dtype=np.int32)
+        for rows, letters in same_length(qual.fillna("").to_numpy(dtype=object), "utf-32-le", np.uint32):
+            starts = letters.shape[1] - window + 1
+            if starts < 1:
+                continue
+            scores = letters.astype(np.int32) - 33
+            low = sum(scores[:, k:k + starts] for k in range(window)) < window * min_mean
+            result[rows] = np.where(low.any(axis=1), low.argmax(axis=1) + 1, 0)
+        return pd.Series(result)
+
+    # Otherwise a filter on the length would be pushed down and look at every read twice.
+    return position.asNondeterministic()
+
+
 def quality_trim(df: DataFrame, lead: int = 3, trail: int = 3, window: int = 4, min_mean: int = 15) -> DataFrame:
     """Cut low ends, then everything from the first window with a mean below ``min_mean``.
 
-    Ends are cut by trimming the characters of low qualities; the window sums are
-    array expressions over the quality string, so nothing leaves the JVM.
+    Ends are cut by trimming the characters of low qualities; the windows of many reads
+    are summed at once.
     """
     qual = F.col("qual")
     led = F.ltrim(qual, F.lit(below(lead)))
     ends = keep_span(
         df, F.length(qual) - F.length(led) + 1, F.length(F.rtrim(led, F.lit(below(trail))))
     )
-    scores = F.transform(F.split("qual", ""), lambda c: F.ascii(c) - 33)
-
-    def first_bad(q: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(q) - window)
-        low = F.transform(starts, lambda i: sum((q[i + k] for k in range(1, window)), q[i]) < window * min_mean)
-        return F.array_position(low, F.lit(True))
-
-    # The one-element array binds the scores once for the whole inner expression.
-    position = F.when(
-        F.length("qual") >= window, F.transform(F.array(scores), first_bad)[0]
-    ).otherwise(F.lit(0))
+    position = low_window(window, min_mean)(F.col("qual"))
     length = F.when(F.col("_bad") > 0, F.col("_bad") - 1).otherwise(F.length("qual")).cast("int")
     return keep_span(ends.withColumn("_bad", position).withColumn("_keep", length), F.lit(1), F.col("_keep")).drop(
         "_bad", "_keep"
@@ -131,24 +140,27 @@ def min_length(df: DataFrame, n: int = 36) -> DataFrame:
     return df.filter(long)
 
 
-def same_length(texts: np.ndarray):
-    """(rows, byte matrix) for each length among ``texts``; no read is padded to the longest one."""
+def same_length(texts: np.ndarray, encoding: str = "ascii", kind: type = np.uint8):
+    """(rows, matrix of letters) for each length among ``texts``; no read is padded to the longest one."""
     lengths = np.array([len(s) for s in texts], dtype=np.int64)
     for width in np.unique(lengths):
         rows = np.flatnonzero(lengths == width)
-        letters = np.frombuffer("".join(texts[rows]).encode("ascii", "replace"), dtype=np.uint8)
+        letters = np.frombuffer("".join(texts[rows]).encode(encoding, "replace"), dtype=kind)
         yield rows, letters.reshape(len(rows), width)
 
 
-#: Reads whose words are counted at once.
-ROWS = 256
+#: Reads whose words are counted at once, letters in which adapters are looked for at once, and the most words counted in a table of all.
+ROWS, LETTERS, WORDS = 256, 1 << 19, 1 << 10
 
 
 def same_in_row(codes: np.ndarray) -> np.ndarray:
     """For each place of a matrix, how often its value is in its row; each row is counted in a table of the values seen."""
-    values, at = np.unique(codes, return_inverse=True)
-    cells = np.arange(len(codes))[:, None] * len(values) + at.reshape(codes.shape)
-    return np.bincount(cells.ravel(), minlength=len(codes) * len(values))[cells]
+    size, at = int(codes.max(initial=0)) + 1, codes
+    if size > WORDS:
+        values, at = np.unique(codes, return_inverse=True)
+        size, at = len(values), at.reshape(codes.shape)
+    cells = np.arange(len(codes))[:, None] * size + at
+    return np.bincount(cells.ravel(), minlength=len(codes) * size)[cells]
 
 
 def complexity_score(window: int, step: int, word: int):
@@ -165,15 +177,18 @@ def complexity_score(window: int, step: int, word: int):
         result = np.zeros(len(seq))
         for rows, bases in same_length(seq.fillna("").to_numpy(dtype=object)):
             width = bases.shape[1]
+            # The letters that occur are numbered, so that few letters make small numbers of words.
+            seen, number = np.bincount(bases.ravel(), minlength=256) > 0, np.zeros(256, dtype=np.int64)
+            number[seen] = np.arange(seen.sum())
             starts = range(0, max((width - step - 1) // step, 0) * step + 1, step)
             for start in starts:
-                piece = bases[:, start:start + window].astype(np.int64)
+                piece = number[bases[:, start:start + window]]
                 n = piece.shape[1] - word + 1
                 if n < 2:
                     continue
-                codes = sum(piece[:, k:k + n] << (8 * k) for k in range(word))
+                codes = sum(piece[:, k:k + n] * int(seen.sum()) ** k for k in range(word))
                 counts = np.concatenate([same_in_row(codes[k:k + ROWS]) for k in range(0, len(codes), ROWS)])
-                entropy = -np.log(counts / n).mean(axis=1)
+                entropy = -np.log(np.arange(1, n + 1) / n)[counts - 1].mean(axis=1)
                 result[rows] += entropy / np.log(min(4**word, n)) * 100 / len(starts)
         return pd.Series(result)
 
@@ -197,6 +212,7 @@ def adapter_position(adapters: list[str], mismatches: int, error_rate: float | N
     that leaves that many bases.
     """
     codes = [np.frombuffer(a.encode(), dtype=np.uint8) for a in dict.fromkeys(adapters)]
+    letters = np.unique(np.concatenate(codes)).tolist()
 
     def allowed(overlap: int) -> int:
         return mismatches if error_rate is None else int(overlap * error_rate)
@@ -206,13 +222,24 @@ def adapter_position(adapters: list[str], mismatches: int, error_rate: float | N
         best = np.full(len(seq), np.iinfo(np.int32).max, dtype=np.int64)
         for rows, bases in same_length(seq.fillna("").to_numpy(dtype=object)):
             width = bases.shape[1]
-            for code in codes:
-                shortest = len(code) if min_overlap is None else min(min_overlap, len(code))
-                for start in range(0, width - shortest + 1):
-                    overlap = min(len(code), width - start)
-                    differing = (bases[:, start:start + overlap] != code[:overlap]).sum(axis=1)
-                    hit = rows[differing <= allowed(overlap)]
-                    best[hit] = np.minimum(best[hit], start)
+            many = max(LETTERS // max(width, 1), 1)
+            for k in range(0, len(rows), many):
+                some, columns = rows[k:k + many], np.ascontiguousarray(bases[k:k + many].T)
+                other = {letter: (columns != letter).view(np.uint8) for letter in letters}
+                for code in codes:
+                    shortest = len(code) if min_overlap is None else min(min_overlap, len(code))
+                    starts = width - shortest + 1
+                    if starts < 1:
+                        continue
+                    # For each start and read; a base of the adapter beyond the read's end differs from none.
+                    differing = np.zeros((starts, len(some)), dtype=np.uint8 if len(code) < 256 else np.int32)
+                    for i, letter in enumerate(code.tolist()):
+                        last = min(starts, width - i)
+                        if last > 0:
+                            differing[:last] += other[letter][i:i + last]
+                    most = [allowed(min(len(code), width - start)) for start in range(starts)]
+                    hit = differing <= np.array(most)[:, None]
+                    best[some] = np.minimum(best[some], np.where(hit.any(axis=0), hit.argmax(axis=0), best[some]))
         return pd.Series(np.where(best == np.iinfo(np.int32).max, -1, best).astype("int32"))
 
     return position.asNondeterministic()

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from assaymill.operators import reads
+from assaymill.session import kept
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -34,7 +35,11 @@ def entropy_recipe() -> list[Step]:
 
 
 def both_mates(df: DataFrame, steps: list[Step]) -> DataFrame:
-    """Prepare the two sides of (file, record_no, id, seq, plus, qual, mate) and re-join what is left."""
+    """Prepare the two sides of (file, record_no, id, seq, plus, qual, mate) and re-join what is left.
+
+    The pairs are written once, as finding them for each side would take every read four times.
+    """
+    df = kept(df.select("file", "record_no", *reads.FIELDS, "mate"), "pairs")
     first = prepare_reads(df.drop("mate"), steps)
     second = prepare_reads(
         df.select("file", "record_no", *[F.col(f"mate.{c}").alias(c) for c in reads.FIELDS]), steps
