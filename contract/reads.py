@@ -86,12 +86,14 @@ def read_layout(t: Tables):
 def four_line_reads(t: Tables):
     path = scratch_folder(t.spark, "four-line")
     run = F.concat("file", F.lit("_part"), F.expr("read_no div 1000000"))
-    # The four lines of a record are one row; a task costs by its files and not by its bytes, so none are put together.
-    lines = F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in ops.FIELDS])
+    # A record becomes four lines where they are written; a task costs by its files and not by its bytes, so none are put together.
     tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = (
+        records(t).select(run.alias("run"), "read_no", *ops.FIELDS).repartition(tasks, "run")
+        .select("run", "read_no", F.posexplode(F.array(*ops.FIELDS)).alias("slot", "line"))
+    )
     (
-        records(t).select(run.alias("run"), "read_no", lines.alias("line"))
-        .repartition(tasks, "run").sortWithinPartitions("run", "read_no")
+        lines.sortWithinPartitions("run", "read_no", "slot")
         .select("run", "line").write.partitionBy("run").text(path)
     )
     back = files.read_four_line(t.spark, path)
