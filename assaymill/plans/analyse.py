@@ -10,7 +10,7 @@ from assaymill.operators.lookups import platform_of, split_ids
 from assaymill.operators.routing import (
     all_present, pair_id, pair_samples, route, runs_of, sequencing_grouping,
 )
-from assaymill.session import cut
+from assaymill.session import cut, kept
 from assaymill.sources.catalog import Catalog
 
 NOTES = ["gse_id", "pert_agent", "organism", "direction"]
@@ -43,11 +43,12 @@ def annotate(genes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def sequencing_genes(pairs: DataFrame, matrix: DataFrame, mode: str) -> DataFrame:
     groups = pair_samples(pairs, []).select("pair", "sample", "grp")
-    values = diffexp.select_groups(
+    # Written, as it is read several times and the matrix holds many more samples.
+    values = kept(diffexp.select_groups(
         matrix.select("gene", "sample", F.col("count").alias("value")), groups, ["sample"]
-    )
-    kept = cut(diffexp.drop_low_counts(values))
-    logged = diffexp.log_cpm(kept, diffexp.tmm_factors(kept))
+    ), "values")
+    counted = kept(diffexp.drop_low_counts(values), "counted")
+    logged = diffexp.log_cpm(counted, diffexp.tmm_factors(counted))
     fit = diffexp.contrast(diffexp.fit_two_groups(logged), mode)
     table = annotate(diffexp.gene_table(diffexp.moderated_t(fit, trend=True), "sequencing"), pairs)
     return table.select(
@@ -62,15 +63,12 @@ def array_genes(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     A probe's symbol is the one its own samples carry, as platforms share probe ids.
     """
     groups = pair_samples(pairs, []).select("pair", "sample", "grp")
-    values = diffexp.select_groups(
-        arrays.select(F.col("probe").alias("gene"), "sample", F.col("value").cast("double").alias("value")), groups,
-        ["sample"],
-    )
-    fit = diffexp.contrast(diffexp.fit_two_groups(diffexp.auto_log2(cut(values))))
-    symbols = (
-        arrays.select("probe", "sample", "symbol").join(groups.select("pair", "sample"), "sample")
-        .groupBy("pair", "probe").agg(F.min("symbol").alias("symbol"))
-    )
+    values = kept(diffexp.select_groups(
+        arrays.select(F.col("probe").alias("gene"), "sample", F.col("value").cast("double").alias("value"), "symbol"),
+        groups, ["sample"],
+    ), "values")
+    fit = diffexp.contrast(diffexp.fit_two_groups(diffexp.auto_log2(values.drop("symbol"))))
+    symbols = values.groupBy("pair", F.col("gene").alias("probe")).agg(F.min("symbol").alias("symbol"))
     tested = (
         diffexp.moderated_t(fit).withColumnRenamed("gene", "probe").join(symbols, ["pair", "probe"])
         .withColumn("gene", F.col("probe"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from assaymill.operators import lookups, routing as ops
 from assaymill.plans.analyse import analyse, route_pairs
-from assaymill.session import cut, scratch_folder
+from assaymill.session import cut, kept, scratch_folder
 from assaymill.sources import sinks
 from contract.catalog import catalog_of
 from contract.registry import query
@@ -33,8 +33,12 @@ ROUTED_SQL = """
                from org join present using (gse_id) join runs using (gse_id))"""
 
 
+def with_organism(t: Tables, matrix: DataFrame):
+    return matrix.join(t.samples.selectExpr("gsm sample", "organism_ch1 organism"), "sample")
+
+
 def matrix_with_organism(t: Tables):
-    return t.matrix.join(t.samples.selectExpr("gsm sample", "organism_ch1 organism"), "sample")
+    return with_organism(t, t.matrix)
 
 
 def routed(t: Tables):
@@ -109,11 +113,12 @@ def routed_sink(t: Tables):
 def with_faulty(t: Tables):
     """The pairs, and as many again whose perturbed list is blank, is missing, or whose control list is missing."""
     missing = F.lit(None).cast("string")
+    pairs = kept(t.pairs, "pairs")
     faulty = [
-        t.pairs.withColumn(column, value).withColumn("gse_id", F.concat(F.col("gse_id"), F.lit(mark)))
+        pairs.withColumn(column, value).withColumn("gse_id", F.concat(F.col("gse_id"), F.lit(mark)))
         for column, value, mark in (("pert_gsm_ids", F.lit(""), "E"), ("pert_gsm_ids", missing, "N"), ("ctrl_gsm_ids", missing, "C"))
     ]
-    return reduce(lambda a, b: a.unionByName(b), [t.pairs, *faulty])
+    return reduce(lambda a, b: a.unionByName(b), [pairs, *faulty])
 
 
 @query("route_annotate", "with " + ROUTED_SQL + """
@@ -127,8 +132,10 @@ def route_annotate(t: Tables):
 
 @query("analyse_pairs")
 def analyse_pairs(t: Tables):
-    arrays = t.matrix.selectExpr("gene probe", "sample", "count value", "concat('SYM', cast(substr(gene, 2) as int) div 2) symbol")
-    frames = analyse(with_faulty(t), catalog_of(t), matrix_with_organism(t), t.runs, arrays, use_flags=False)
+    # Written once: every use would sum all line items anew.
+    matrix = kept(t.matrix, "matrix")
+    arrays = matrix.selectExpr("gene probe", "sample", "count value", "concat('SYM', cast(substr(gene, 2) as int) div 2) symbol")
+    frames = analyse(with_faulty(t), catalog_of(t), with_organism(t, matrix), t.runs, arrays, use_flags=False)
     return ops.union_routes(*[
         df.selectExpr("gse_id").groupBy("gse_id").agg(F.count(F.lit(1)).alias("n")).withColumn("route", F.lit(name))
         for name, df in frames.items()])
